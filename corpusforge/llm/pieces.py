@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CACHE = 1_200_000
 SHORT = 48  # characters up to which chunks share an array
@@ -235,7 +236,7 @@ def encode_decode(docs: DataFrame, model: str, text: str = "text", batch: int =
     """``docs`` with ``ids`` array<int> and ``decoded`` string (the library's decode of these ids)."""
     keep = [c for c in docs.columns if c not in ("ids", "decoded", "_piece_text")]
     given = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_piece_text"))
-    schema = given.drop("_piece_text").schema.add("ids", "array<int>").add("decoded", "string")
+    schema = given.drop("_piece_text").schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
 
     def run(batches):
         p = pieces(model)
