@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.llm import pieces
+from corpusforge.llm import idfile, mpeg, pieces, simhash
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -33,5 +33,26 @@ def piece_digests(df: DataFrame) -> DataFrame:
     return df.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op9_sentencepiece": op9_sentencepiece}
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, shingle=4, radius=4).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_idfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = idfile.read(idfile.write(docs, tokenizer(WORD_BPE), 2))
+    return idfile.digests(back)
+
+
+def op8_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = mpeg.read(mpeg.store(docs).select("doc_id", "media"))
+    said = F.format_string("%s;%dHz;frames=%d;samples=%d;seconds=%.6f;crc=%d/%d;skipped=%d;vbr=%s;last=%d", "kinds", "rate", "n_frames", "samples", "duration_s", F.col("crc_checked") - F.col("crc_bad"), "crc_checked", "skipped", "vbr", F.coalesce(F.element_at("seek", -1), F.lit(-1)))
+    return back.select(
+        "doc_id", "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -64)")).alias("tail_crc32"),
+        F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), said.alias("feature"),
+    )
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op5_simhash": op5_simhash, "op7_idfile": op7_idfile, "op8_mpeg": op8_mpeg, "op9_sentencepiece": op9_sentencepiece}
 ORACLES: dict[str, str] = {}
