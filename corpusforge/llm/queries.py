@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.llm import idfile, mpeg, pieces, simhash
+from corpusforge.llm import idfile, mixing, mpeg, personal, pieces, simhash
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -33,6 +33,16 @@ def piece_digests(df: DataFrame) -> DataFrame:
     return df.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = [personal.count_of("base", k).alias(f"n_{k}") for k in personal.KINDS]
+    return found.select("doc_id", *count, F.sha2(personal.joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), personal.joined(F.col("spans")).alias("spans"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs, shingle=4, radius=4).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -54,5 +64,6 @@ def op8_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op5_simhash": op5_simhash, "op7_idfile": op7_idfile, "op8_mpeg": op8_mpeg, "op9_sentencepiece": op9_sentencepiece}
-ORACLES: dict[str, str] = {}
+_ALL = (op4_mixing, op5_simhash, op6_personal, op7_idfile, op8_mpeg, op9_sentencepiece)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
+ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}
