@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.llm import idfile, mixing, mpeg, personal, pieces, simhash
+from corpusforge.llm import idfile, mixing, mpeg, personal, pieces, simhash, toxicity
+from corpusforge.llm.common import held_out
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -64,6 +65,13 @@ def op8_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_ALL = (op4_mixing, op5_simhash, op6_personal, op7_idfile, op8_mpeg, op9_sentencepiece)
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 5)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~out)
+    return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+_ALL = (op4_mixing, op5_simhash, op6_personal, op7_idfile, op8_mpeg, op9_sentencepiece, op10_toxicity)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}
