@@ -2,11 +2,12 @@
 
 The kernel of two words sums, over all subsequences of three characters within a span of five, the product of their
 weights (``DECAY`` to the power of the span), divided by the words' norms. So an insult with inserted characters, gaps
-or another ending keeps most of its similarity. Landmarks are words of the sample that tell toxic texts from others and
-aren't alike, and some frequent other words. A sentence is described by its words' greatest similarity to each
-landmark, above ``FLOOR``, mapped by the inverse root of the landmarks' kernel matrix; a linear machine with squared hinge loss
-is trained on the sentences of labelled texts, in two rounds: sentences of toxic texts on the wrong side after the first
-count as clean in the second. A text's score is the logistic calibration of its highest sentence.
+or another ending keeps most of its similarity. Landmarks are words of the sample whose subsequences tell toxic texts
+from others and that aren't alike,
+and the clean words most like those as counter-examples. A word that is like a telling landmark, above
+``FLOOR``, is described by its similarities to all landmarks, mapped by the inverse root of the landmarks' kernel matrix; a linear machine with squared hinge loss
+is trained on the sentences of labelled texts, whose greatest word is their witness, in two rounds: witnesses of toxic texts
+on the wrong side after the first are left out of the second. Landmarks with inserted characters, doubled letters and separators are examples too. A text's score is the logistic calibration of its highest sentence.
 
 Training uses at most ``SAMPLE`` labelled texts of each class, those with the least hash of the id (a documented bound);
 scoring reads every word of every text. Similarities of distinct words are remembered, up to ``CACHE`` per worker; a
@@ -29,9 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DECAY, FLOOR = 0.7, 0.25
+DECAY, FLOOR = 0.7, 0.3
 PAIRS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))  # places of the second and third character after the first
-LANDMARKS, PLAIN = 96, 16
+LANDMARKS = 96
+COUNTER = 48
+PART = 0.6  # share of a rare word's subsequences that must tell
+TOLD, MORE = 12.0, 6.0  # likelihood ratio and ratio of rates from which a subsequence tells toxic texts
 SAMPLE = 1_500
 CACHE = 1_000_000
 LONG = 64  # a longer word is read in overlapping windows of this length
@@ -78,38 +82,48 @@ def forms(token: str) -> list[str]:
 class Model:
     """Landmarks, map, weights and calibration; pickled to the workers without what it remembers."""
 
-    def __init__(self, landmarks: list[str], share: float):
-        self.landmarks, self.share = landmarks, share
+    def __init__(self, landmarks: list[str], telling: int, share: float):
+        """``telling``: how many landmarks, from the first, stand for insults; the others are counter-examples."""
+        self.landmarks, self.telling, self.share = landmarks, telling, share
         self.weights: np.ndarray | None = None
-        self.bias, self.slope, self.shift = 0.0, 1.0, 0.0
+        self.bias, self.slope, self.shift, self.least = 0.0, 1.0, 0.0, -1.0
         self._prepare()
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("reach", "where", "known", "rows")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("reach", "at", "table", "known", "rows")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self._prepare()
 
     def _prepare(self) -> None:
-        self.where: dict[int, list[tuple[int, float]]] = {}
+        """The landmarks' weights by subsequence, and each subsequence's greatest weight in a telling landmark."""
         self.reach = np.zeros(ALPHABET**3, np.float32)
-        for i, w in enumerate(self.landmarks):
-            f = features(w)
+        parts = [(w, features(w)) for w in self.landmarks]
+        every = sorted({k for _, f in parts for k in f})
+        self.at = np.zeros(ALPHABET**3, np.int32)
+        self.at[every] = np.arange(1, len(every) + 1)
+        self.table = np.zeros((len(every) + 1, len(self.landmarks)), np.float32)
+        for i, (_, f) in enumerate(parts):
             n = norm(f)
             for k, x in f.items():
-                self.where.setdefault(k, []).append((i, x / n))
-                self.reach[k] = max(self.reach[k], x / n)
+                self.table[self.at[k], i] = x / n
+        self.reach[every] = self.table[1:, : self.telling].max(axis=1) if self.telling else 0
         self.known: dict[str, int] = {}
         self.rows: list[np.ndarray] = []
 
-    def similar(self, word: str) -> np.ndarray:
-        f = features(word)
-        v = np.zeros(len(self.landmarks))
-        for k, x in f.items():
-            for i, y in self.where.get(k, ()):
-                v[i] += x * y
-        return v / norm(f)
+    def similar(self, words: list[str]) -> np.ndarray:
+        """The kernel of words of three characters or more with the landmarks."""
+        out = np.zeros((len(words), len(self.landmarks)), np.float32)
+        for k in range(0, len(words), 4096):
+            offset, code, weight = coded(words[k : k + 4096])
+            n = len(offset) - 1
+            word = np.repeat(np.arange(n), np.diff(offset))
+            key, where = np.unique(word * ALPHABET**3 + code, return_inverse=True)
+            sums = np.bincount(where, weight)
+            norms = np.sqrt(np.bincount(key // ALPHABET**3, sums**2, n))
+            out[k : k + n] = np.add.reduceat(self.table[self.at[code]] * weight[:, None], offset[:-1], axis=0) / norms[:, None]
+        return out
 
     def reachable(self, words: list[str]) -> np.ndarray:
         """Whether a landmark can be within the floor of each word: a bound on the kernel by the greatest weights."""
@@ -137,49 +151,50 @@ class Model:
         kinds = [forms(t) for t in new]
         flat = [(i, w) for i, x in enumerate(kinds) for w in x]
         ok = self.reachable([w for _, w in flat]) if flat else []
-        best: dict[int, np.ndarray] = {}
-        for (i, w), near in zip(flat, ok, strict=True):
-            if near:
-                v = (self.similar(w) - FLOOR) / (1 - FLOOR)
-                if (v > 0).any():
-                    best[i] = np.maximum(best.get(i, 0.0), np.maximum(v, 0.0))
+        near = [x for x, y in zip(flat, ok, strict=True) if y]
+        k = self.similar([w for _, w in near]) if near else np.zeros((0, len(self.landmarks)))
         self.known.update(dict.fromkeys(new, -1))
-        for i, v in best.items():
-            self.known[new[i]] = len(self.rows)
-            self.rows.append(v)
+        for (i, _), v in zip(near, k, strict=True):
+            if v[: self.telling].max() > FLOOR:
+                # of a token's forms the one most like a telling landmark counts
+                if (r := self.known[new[i]]) < 0:
+                    self.known[new[i]] = len(self.rows)
+                    self.rows.append(v)
+                elif v[: self.telling].max() > self.rows[r][: self.telling].max():
+                    self.rows[r] = v
 
     def words(self, text: str) -> list[str]:
         t = text.lower()
         return t.split() + ["".join(filter(str.isalnum, m)) for m in SPACED.findall(t)]
 
-    def sentences(self, text: str) -> list[np.ndarray]:
-        """Pooled similarities of the sentences that have any."""
+    def sentences(self, text: str) -> list[list[int]]:
+        """The rows of the words of sentences that have any."""
         out = []
         for s in SENTENCE.split(text.lower()):
             at = [k for w in set(self.words(s)) if (k := self.known.get(w, -1)) >= 0]
             if at:
-                out.append(np.max([self.rows[k] for k in at], axis=0))
+                out.append(at)
         return out
 
-    def see(self, texts: list[str]) -> list[list[np.ndarray]]:
+    def see(self, texts: list[str]) -> list[list[list[int]]]:
         split = [set(self.words(t)) for t in texts]
         # joined letters depend on where a sentence ends
         for t, x in zip(texts, split, strict=True):
             if SPACED.search(t):
                 x.update(w for s in SENTENCE.split(t.lower()) for w in self.words(s))
-        missing = set().union(*split).difference(self.known) if split else set()
+        everything = set().union(*split)
+        missing = everything.difference(self.known)
         if len(self.known) + len(missing) > CACHE:
-            missing = set().union(*split)
+            missing = everything
         self.learn(missing)
         get = self.known.__getitem__
         return [self.sentences(t) if x and max(map(get, x)) >= 0 else [] for t, x in zip(texts, split, strict=True)]
 
     def decide(self, texts: list[str]) -> np.ndarray:
-        out = np.full(len(texts), self.bias)
-        for i, x in enumerate(self.see(texts)):
-            if x:
-                out[i] = max(self.bias, float((np.array(x) @ self.weights).max()) + self.bias)
-        return out
+        """The highest word of the highest sentence; the floor for texts without a word like a telling landmark."""
+        seen = self.see(texts)
+        value = np.array(self.rows).reshape(-1, len(self.landmarks)) @ self.weights + self.bias if self.rows else []
+        return np.array([max([self.least, *[value[k] for s in x for k in s]]) for x in seen])
 
     def score(self, texts: list[str]) -> np.ndarray:
         if self.weights is None:
@@ -217,42 +232,127 @@ def platt(f: np.ndarray, toxic: np.ndarray, steps: int = 100) -> tuple[float, fl
     return float(w[0]), float(w[1])
 
 
+def coded(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Offsets, codes and weights of the subsequences of many words."""
+    size = np.array([len(w) for w in words])
+    count = sum(np.maximum(0, size - b) for _, b in PAIRS)
+    offset = np.concatenate([[0], np.cumsum(count)])
+    code, weight = np.zeros(offset[-1], np.int32), np.zeros(offset[-1], np.float32)
+    for n in np.unique(size).tolist():
+        at = np.flatnonzero(size == n)
+        c = np.frombuffer("".join([words[i] for i in at]).encode("utf-32-le"), np.uint32).astype(np.int64).reshape(-1, n)
+        c = np.where((c >= 97) & (c <= 122), c - 96, 27 + c * 31 % (ALPHABET - 27))
+        k = offset[at]
+        for a, b in PAIRS:
+            for i in range(n - b):
+                code[k], weight[k] = (c[:, i] * ALPHABET + c[:, i + a]) * ALPHABET + c[:, i + b], DECAY ** (b + 1)
+                k = k + 1
+    return offset, code, weight
+
+
+def gains(with1: np.ndarray, with0: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Log ratio of rates of what is told by a likelihood ratio to be more frequent in toxic texts; 0 for the rest."""
+    rate1, rate0, rate = (with1 + 0.5) / (n1 + 1), (with0 + 0.5) / (n0 + 1), (with1 + with0 + 1) / (n1 + n0 + 2)
+    gain = 2 * (with1 * np.log(rate1 / rate) + with0 * np.log(rate0 / rate))
+    return np.where((gain >= TOLD) & (rate1 >= MORE * rate0), np.log(rate1 / rate0), 0.0)
+
+
+def landmarks_of(words: list[set[str]], toxic: np.ndarray) -> tuple[list[str], int]:
+    """Telling words: first those that occur in toxic texts rather than in others, then those whose subsequences do; and clean words
+    that are most like them, as counter-examples. No two are alike."""
+    n1, n0 = int(toxic.sum()), int((~toxic).sum())
+    names = sorted({w for x in words for w in x if w.isalpha()})
+    if not names:
+        return [], 0
+    index = {w: i for i, w in enumerate(names)}
+    offset, code, weight = coded(names)
+    seen, found = np.zeros((2, ALPHABET**3), np.int32), np.zeros((2, len(names)), np.int32)
+    for x, label in zip(words, toxic.tolist(), strict=True):
+        at = np.array([index[w] for w in x if w in index], np.int64)
+        found[int(label)][at] += 1
+        mark = np.zeros(ALPHABET**3, bool)
+        if len(at):
+            mark[np.concatenate([code[offset[i] : offset[i + 1]] for i in at.tolist()])] = True
+        seen[int(label)] += mark
+    by_word, by_part = gains(found[1], found[0], n1, n0), gains(seen[1], seen[0], n1, n0)
+    part = by_part[code]
+    total = np.add.reduceat(weight, offset[:-1])
+    share = np.add.reduceat(weight * (part > 0), offset[:-1]) / total
+    value = np.add.reduceat(weight * part, offset[:-1]) / total
+    loose = (share >= PART) & (found[0] == 0) & (found[1] > 0)
+    rank = np.where(by_word > 0, 1e6 + found[1] * by_word, np.where(loose, found[1] * value, 0.0))
+    order = np.lexsort((np.arange(len(names)), -rank))[: 10 * LANDMARKS]
+    chosen: list[tuple[str, dict[int, float], float]] = []
+
+    def add(w: str, most: int) -> None:
+        f = features(w)
+        n = norm(f)
+        if len(chosen) < most and all(sum(v * g.get(k, 0.0) for k, v in f.items()) < 0.85 * n * o for _, g, o in chosen):
+            chosen.append((w, f, n))
+
+    for i in order.tolist():
+        if rank[i] > 0:
+            add(names[i], LANDMARKS)
+    telling = len(chosen)
+    if chosen:
+        m = Model([w for w, _, _ in chosen], telling, 0.0)
+        clean = np.flatnonzero((found[0] >= 1) & (by_word == 0) & ~loose)
+        clean = clean[m.reachable([names[i] for i in clean])] if len(clean) else clean
+        like = m.similar([names[i] for i in clean]).max(axis=1) if len(clean) else np.zeros(0)
+        order = np.lexsort((clean, -like * np.log(1 + found[0][clean])))
+        for i in clean[order[: 4 * COUNTER]].tolist():
+            add(names[i], telling + COUNTER)
+    return [w for w, _, _ in chosen], telling
+
+
+def variants(word: str) -> list[str]:
+    """A word with an inserted character, a doubled letter and separators."""
+    h = len(word) // 2
+    return [word[:h] + "x" + word[h:], word[:2] + word[1:], word[:h] + "." + word[h:], "*".join(word), " ".join(word)]
+
+
 def fit(texts: list[str], toxic: list[bool]) -> Model:
-    """A model of labelled texts."""
+    """A model of labelled texts, each distinct text once."""
+    once = dict(zip(texts, toxic, strict=True))
+    texts, toxic = list(once), list(once.values())
     y = np.array(toxic, bool)
     n1, n0 = int(y.sum()), int((~y).sum())
     if not n1 or not n0:
-        return Model([], n1 / len(y) if len(y) else 0.0)
-    seen = {True: Counter(), False: Counter()}
-    for t, label in zip(texts, toxic, strict=True):
-        seen[bool(label)].update({w for token in t.lower().split() for w in forms(token)})
-    least = 2 if n1 < 50 else 3
-    ratio = lambda w: (seen[True][w] + 0.5) / (n1 + 1) / ((seen[False][w] + 0.5) / (n0 + 1))
-    told = sorted((-c * math.log(r), w) for w, c in seen[True].items() if c >= least and (r := ratio(w)) >= 3)
-    landmarks: list[str] = []
-    for _, w in told[: 20 * LANDMARKS]:
-        if len(landmarks) < LANDMARKS and all(kernel(w, v) < 0.9 for v in landmarks):
-            landmarks.append(w)
-    plain = sorted((-c, w) for w, c in seen[False].items() if len(w) >= 5 and ratio(w) < 2)[:PLAIN]
-    m = Model([*landmarks, *[w for _, w in plain]], n1 / len(y))
-    k = np.array([[kernel(a, b) for b in m.landmarks] for a in m.landmarks]).reshape(len(m.landmarks), -1)
-    val, vec = np.linalg.eigh(k) if len(k) else (np.zeros(0), np.zeros((0, 0)))
+        return Model([], 0, n1 / len(y) if len(y) else 0.0)
+    words = [{w for token in t.lower().split() for w in forms(token)} for t in texts]
+    m = Model(*landmarks_of(words, y), n1 / len(y))
+    if not m.telling:
+        return m
+    k = m.similar(m.landmarks).astype(float)
+    val, vec = np.linalg.eigh((k + k.T) / 2)
     root = vec @ np.diag(1 / np.sqrt(np.maximum(val, 0.05))) @ vec.T
     groups = m.see(texts)
-    zero = np.zeros(len(m.landmarks))
-    x = np.array([v for g in groups for v in (g or [zero])]) @ root
-    doc = np.array([i for i, g in enumerate(groups) for _ in (g or [zero])])
-    label = np.where(y[doc], 1.0, -1.0)
+    # sentences by the words that may be their witness: how many toxic and clean ones have each
+    count = np.zeros((2, len(m.rows)))
+    for g, label in zip(groups, y.tolist(), strict=True):
+        for s in g:
+            count[int(label)][s] += 1
+    # the sample's telling words as they are written to be overlooked
+    bent = [s for g in m.see([v for w in m.landmarks[: m.telling] for v in variants(w)]) for s in g]
+    x = np.array(m.rows).reshape(-1, len(m.landmarks)) @ root
+    also = np.zeros(len(x), bool)
+    also[[k for s in bent for k in s]] = True
+    count = np.pad(count, ((0, 0), (0, len(x) - count.shape[1])))
+    also &= count[0] == 0
+    positive = (count[1] > 0) | also
     for _ in range(2):
-        weight = np.where(label > 0, len(label) / (2 * max(1, (label > 0).sum())), len(label) / (2 * max(1, (label < 0).sum())))
-        w, b = svm(x, label, weight)
-        f = x @ w + b
-        label = np.where(y[doc] & (f > 0), 1.0, -1.0)
-        if not (label > 0).any():
-            break
+        at = np.concatenate([np.flatnonzero(positive), np.flatnonzero(count[0])])
+        t = np.concatenate([np.ones(positive.sum()), -np.ones((count[0] > 0).sum())])
+        weight = np.concatenate([np.sqrt(count[1][positive] + also[positive]), np.sqrt(count[0][count[0] > 0])])
+        if not len(t):
+            return m
+        for side in (t > 0, t < 0):
+            weight[side] *= 0.5 * len(t) / max(1e-9, weight[side].sum())
+        w, b = svm(x[at], t, weight, 10.0)
+        positive = ((count[1] > 0) & (x @ w + b > 0)) | also
     m.weights, m.bias = root @ w, b
-    best = m.decide(texts)
-    m.slope, m.shift = platt(best, y)
+    m.least = min(-1.0, b)
+    m.slope, m.shift = platt(m.decide(texts), y)
     return m
 
 
