@@ -30,10 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DECAY, FLOOR = 0.7, 0.3
+DECAY, FLOOR = 0.7, 0.4
 PAIRS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))  # places of the second and third character after the first
 LANDMARKS = 96
 COUNTER = 48
+FAMILIES = 16
 PART = 0.6  # share of a rare word's subsequences that must tell
 TOLD, MORE = 12.0, 6.0  # likelihood ratio and ratio of rates from which a subsequence tells toxic texts
 SAMPLE = 1_500
@@ -90,7 +91,7 @@ class Model:
         self._prepare()
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("reach", "at", "table", "known", "rows")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("reach", "at", "table", "value", "known", "rows")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -98,7 +99,6 @@ class Model:
 
     def _prepare(self) -> None:
         """The landmarks' weights by subsequence, and each subsequence's greatest weight in a telling landmark."""
-        self.reach = np.zeros(ALPHABET**3, np.float32)
         parts = [(w, features(w)) for w in self.landmarks]
         every = sorted({k for _, f in parts for k in f})
         self.at = np.zeros(ALPHABET**3, np.int32)
@@ -108,7 +108,19 @@ class Model:
             n = norm(f)
             for k, x in f.items():
                 self.table[self.at[k], i] = x / n
-        self.reach[every] = self.table[1:, : self.telling].max(axis=1) if self.telling else 0
+        # families of telling landmarks, by the first that is like each
+        family, heads = [], []
+        for i, (w, f) in enumerate(parts[: self.telling]):
+            like = [sum(x * parts[h][1].get(k, 0.0) for k, x in f.items()) / (norm(f) * norm(parts[h][1])) for h in heads]
+            if not heads or (max(like) < 0.3 and len(heads) < FAMILIES):
+                heads.append(i)
+                family.append(len(heads) - 1)
+            else:
+                family.append(int(np.argmax(like)))
+        self.reach = np.zeros((ALPHABET**3, max(1, len(heads))), np.float32)
+        for g in range(len(heads)):
+            self.reach[every, g] = self.table[1:, [i for i, x in enumerate(family) if x == g]].max(axis=1)
+        self.value: dict[str, float] = {}
         self.known: dict[str, int] = {}
         self.rows: list[np.ndarray] = []
 
@@ -133,35 +145,25 @@ class Model:
             at = np.flatnonzero(size == n)
             c = np.frombuffer("".join([words[i] for i in at]).encode("utf-32-le"), np.uint32).astype(np.int64).reshape(-1, n)
             c = np.where((c >= 97) & (c <= 122), c - 96, 27 + c * 31 % (ALPHABET - 27))
-            most, least = np.zeros(len(at), np.float32), 0.0
+            most, least = np.zeros((len(at), self.reach.shape[1]), np.float32), 0.0
             for a, b in PAIRS:
                 if n > b:
                     w = DECAY ** (b + 1)
                     most += w * self.reach[(c[:, : n - b] * ALPHABET + c[:, a : n - b + a]) * ALPHABET + c[:, b:]].sum(axis=1)
                     least += (n - b) * w * w
-            out[at] = most >= FLOOR * math.sqrt(least) * 0.999 if least else False
+            out[at] = most.max(axis=1) >= FLOOR * math.sqrt(least) * 0.999 if least else False
         return out
 
-    def learn(self, tokens: set[str]) -> None:
-        """Remembers tokens: the row of their similarities, or -1 where none is above the floor."""
-        if len(self.known) + len(tokens) > CACHE:
-            self.known.clear()
-            self.rows.clear()
-        new = list(tokens)
-        kinds = [forms(t) for t in new]
-        flat = [(i, w) for i, x in enumerate(kinds) for w in x]
+    def likenesses(self, tokens: list[str]) -> dict[int, np.ndarray]:
+        """The similarities of the tokens that are like a telling landmark; of a token's forms the one most like one."""
+        flat = [(i, w) for i, t in enumerate(tokens) for w in forms(t)]
         ok = self.reachable([w for _, w in flat]) if flat else []
         near = [x for x, y in zip(flat, ok, strict=True) if y]
-        k = self.similar([w for _, w in near]) if near else np.zeros((0, len(self.landmarks)))
-        self.known.update(dict.fromkeys(new, -1))
-        for (i, _), v in zip(near, k, strict=True):
-            if v[: self.telling].max() > FLOOR:
-                # of a token's forms the one most like a telling landmark counts
-                if (r := self.known[new[i]]) < 0:
-                    self.known[new[i]] = len(self.rows)
-                    self.rows.append(v)
-                elif v[: self.telling].max() > self.rows[r][: self.telling].max():
-                    self.rows[r] = v
+        out: dict[int, np.ndarray] = {}
+        for (i, _), v in zip(near, self.similar([w for _, w in near]), strict=True):
+            if (m := v[: self.telling].max()) > FLOOR and (i not in out or m > out[i][: self.telling].max()):
+                out[i] = v
+        return out
 
     def words(self, text: str) -> list[str]:
         t = text.lower()
@@ -177,24 +179,28 @@ class Model:
         return out
 
     def see(self, texts: list[str]) -> list[list[list[int]]]:
-        split = [set(self.words(t)) for t in texts]
-        # joined letters depend on where a sentence ends
-        for t, x in zip(texts, split, strict=True):
-            if SPACED.search(t):
-                x.update(w for s in SENTENCE.split(t.lower()) for w in self.words(s))
-        everything = set().union(*split)
-        missing = everything.difference(self.known)
-        if len(self.known) + len(missing) > CACHE:
-            missing = everything
-        self.learn(missing)
-        get = self.known.__getitem__
-        return [self.sentences(t) if x and max(map(get, x)) >= 0 else [] for t, x in zip(texts, split, strict=True)]
+        """For training: the texts' sentences as rows of similarities, all of which are kept."""
+        new = list({w for t in texts for s in SENTENCE.split(t.lower()) for w in self.words(s)}.difference(self.known))
+        self.known.update(dict.fromkeys(new, -1))
+        for i, v in self.likenesses(new).items():
+            self.known[new[i]] = len(self.rows)
+            self.rows.append(v)
+        return [self.sentences(t) for t in texts]
 
     def decide(self, texts: list[str]) -> np.ndarray:
-        """The highest word of the highest sentence; the floor for texts without a word like a telling landmark."""
-        seen = self.see(texts)
-        value = np.array(self.rows).reshape(-1, len(self.landmarks)) @ self.weights + self.bias if self.rows else []
-        return np.array([max([self.least, *[value[k] for s in x for k in s]]) for x in seen])
+        """The highest word; the least value for texts without a word like a telling landmark."""
+        split = [set(self.words(t)) for t in texts]
+        everything = set().union(*split)
+        new = everything.difference(self.value)
+        if len(self.value) + len(new) > CACHE:
+            self.value.clear()
+            new = everything
+        new = list(new)
+        self.value.update(dict.fromkeys(new, self.least))
+        for i, v in self.likenesses(new).items():
+            self.value[new[i]] = max(self.least, float(v @ self.weights) + self.bias)
+        get = self.value.__getitem__
+        return np.array([max(map(get, x), default=self.least) for x in split])
 
     def score(self, texts: list[str]) -> np.ndarray:
         if self.weights is None:
