@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,3 +94,19 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("v").alias("id"), F.col("v").alias("component"))
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots).distinct()
+
+
+def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """The least index of each vertex's component."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        np.minimum.at(new, label[i], low)
+        np.minimum.at(new, label[j], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import components, stored, width
+from corpusforge.llm.common import components, forest, stored, width
 
 SEED = 42
 TILE = 4096
@@ -70,22 +70,6 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sh
     return rows.mapInArrow(run, rows.select("doc_id", F.lit(0).cast("long").alias("fp")).schema)
 
 
-def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """The least index of each vertex's component."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        np.minimum.at(new, label[i], low)
-        np.minimum.at(new, label[j], low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def linked(x: np.ndarray, side: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of fingerprints within ``radius``; with ``side``, of one side with the other only."""
     total = np.bitwise_count(x).astype(np.int64)
