@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.llm import egojoin, idfile, mixing, mpeg, pagetext, personal, pieces, simhash, toxicity
+from corpusforge.llm import egojoin, idfile, mixing, mpeg, pagetext, personal, pieces, pitmanyor, simhash, toxicity
 from corpusforge.llm.common import held_out
 
 WORD_BPE = "word_bpe_49k.json"
@@ -34,6 +34,10 @@ def piece_digests(df: DataFrame) -> DataFrame:
     return df.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op1_pitmanyor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.score(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 10))
+
+
 def op2_pagetext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pagetext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -80,6 +84,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-_ALL = (op2_pagetext, op3_egojoin, op4_mixing, op5_simhash, op6_personal, op7_idfile, op8_mpeg, op9_sentencepiece, op10_toxicity)
+_ALL = (op1_pitmanyor, op2_pagetext, op3_egojoin, op4_mixing, op5_simhash, op6_personal, op7_idfile, op8_mpeg, op9_sentencepiece, op10_toxicity)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}
