@@ -89,10 +89,10 @@ def thresholds(sizes: DataFrame, goals: DataFrame, few: bool, folder: str) -> Da
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2) -> DataFrame:
-    """``docs`` with size, source_size, target and taken (words that the mix takes, repeats counted)."""
+    """``docs`` with size, source_size, target, copies, and taken (words that the mix takes, repeats counted)."""
     spark = docs.sparkSession
     folder = shared_dir(spark)
-    given = docs.drop("size", "source_size", "target", "taken").withColumn("size", size_of(F.col(text))).withColumn("_h", hash_of(F.col(doc_id)))
+    given = docs.drop("size", "source_size", "target", "copies", "taken").withColumn("size", size_of(F.col(text))).withColumn("_h", hash_of(F.col(doc_id)))
     sizes = stored(given.select(F.col(source).cast("string").alias("source"), "size", F.col("_h").alias("h")), f"{folder}/sizes")
     goals = stored(targets(sizes, weights, share, most), f"{folder}/goals")
     few = goals.count() <= FEW_SOURCES
@@ -102,7 +102,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     full = (F.col("rest") > 0) & F.coalesce(F.col("_h") < F.col("below"), F.lit(True))
     copies = F.col("passes") + full.cast("long")
     out = given.join(F.broadcast(goals) if few else goals, F.col(source).cast("string").eqNullSafe(F.col("_source")))
-    return out.withColumn("taken", F.col("size") * copies).drop("_h", "_source", "passes", "rest", "below")
+    return out.withColumn("copies", copies).withColumn("taken", F.col("size") * copies).drop("_h", "_source", "passes", "rest", "below")
 
 
 #: Every step of ``mix`` for DuckDB: the thresholds by sums over all hashes instead of nested histograms.

@@ -57,17 +57,18 @@ def fingerprints_of(texts: list[bytes], shingle: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint as a signed long."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, extra: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, extra columns and ``fp``, the fingerprint as a signed long."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), *extra, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
 
     def run(batches):
         for whole in batches:
             for k in range(0, whole.num_rows, 128):
                 b = whole.slice(k, 128)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fingerprints_of(b.column(1).to_pylist(), shingle).view(np.int64))], names=["doc_id", "fp"])
+                fp = fingerprints_of(b.column(b.num_columns - 1).to_pylist(), shingle).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fp)], names=["doc_id", *extra, "fp"])
 
-    return rows.mapInArrow(run, rows.select("doc_id", F.lit(0).cast("long").alias("fp")).schema)
+    return rows.mapInArrow(run, rows.select("doc_id", *extra, F.lit(0).cast("long").alias("fp")).schema)
 
 
 def linked(x: np.ndarray, side: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,13 +143,13 @@ def links(fps: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, radius: int = 4) -> DataFrame:
-    """doc_id, fp, component_id (the smallest id reachable over links): one row per document."""
-    fp = stored(fingerprints(docs, text, doc_id, shingle))
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5, radius: int = 4, extra: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, extra columns, fp, component (a fingerprint of it) and component_id (the smallest id reachable over links): one row per document."""
+    fp = stored(fingerprints(docs, text, doc_id, shingle, extra))
     classes = stored(fp.groupBy("fp").agg(F.min("doc_id").alias("least")))
     comp = components(links(classes.select("fp"), radius))
     named = classes.join(comp, classes.fp == comp.id, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     named = stored(named)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("fp", "component_id")
-    return fp.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = named.join(least, "component").select("fp", "component", "component_id")
+    return fp.join(named, "fp").select("doc_id", *extra, "fp", "component", "component_id")
