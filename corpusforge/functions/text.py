@@ -8,6 +8,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Line and word patterns of gazette pages.
 HEADER_FOOTER = r"(СЛУЖБЕН\s*ВЕСНИК|GAZETTE\s*ZYRTARE|Стр\.\s*\d+\s*-\s*Бр\.\s*\d+|Faqe\s*\d+)"
@@ -98,7 +99,7 @@ def squeeze(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFC")
 
