@@ -36,17 +36,21 @@ def matches(text: Column, pattern: str) -> Column:
     """Start, end, value and contexts of every match: lengths of the matches and of what lies between them add up."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     sides = F.transform(between, lambda s: F.struct(F.char_length(s).alias("n"), F.right(s, F.lit(64)).alias("tail"), F.substring(s, 1, 32).alias("head")))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
 
-    def step(acc: Column, i: Column) -> Column:
-        value, left, right = F.get(found, i), F.get(sides, i), F.get(sides, i + 1)
-        start = acc["at"] + left["n"]
-        end = start + F.char_length(value)
-        span = F.struct(start.alias("start"), end.alias("end"), value.alias("value"), left["tail"].alias("before"), right["head"].alias("after"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    def spans(both: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            value, left, right = F.get(both["found"], i), F.get(both["sides"], i), F.get(both["sides"], i + 1)
+            start = acc["at"] + left["n"]
+            end = start + F.char_length(value)
+            span = F.struct(start.alias("start"), end.alias("end"), value.alias("value"), left["tail"].alias("before"), right["head"].alias("after"))
+            return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
-    # one entry of each lets the sides be computed once
-    return F.when(F.size(found) > 0, F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step)["spans"]).otherwise(F.array().cast(f"array<{SPAN}>"))
+        n = F.size(both["found"])
+        return F.when(n > 0, F.aggregate(F.sequence(F.lit(0), n - 1), zero, step)["spans"]).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+    # the lambda binds matches and sides, which would else be searched anew for every match
+    return F.get(F.transform(F.array(F.struct(found.alias("found"), sides.alias("sides"))), spans), F.lit(0))
 
 
 def digits(value: Column) -> Column:
