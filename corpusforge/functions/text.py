@@ -29,6 +29,11 @@ ITEM = r"(?m)^\s*(\d{3,4})\.\s*$"
 CYRILLIC = r"\x{0400}-\x{04FF}"
 
 
+def bound(c: Column, f) -> Column:
+    """``f`` of the value of ``c``, which is computed once even where ``f`` uses it inside a lambda."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -183,7 +188,7 @@ def paragraph_sentences(c: Column, least: int = 15) -> Column:
 
 def shingles(c: Column, n: int = 3) -> Column:
     """Character n-grams in order; none for shorter texts."""
-    return F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return bound(c, lambda x: F.when(F.length(x) >= n, F.transform(F.sequence(F.lit(1), F.length(x) - n + 1), lambda i: F.substring(x, i, F.lit(n)))).otherwise(F.array().cast("array<string>")))
 
 
 def pair_hash(a: Column, b: Column) -> Column:

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusforge.sources.storage import written
+
 
 def numbered(df: DataFrame, *order: str | Column, name: str = "rn") -> DataFrame:
     """``df`` with its row's number from 1 in ``order`` (a total one). Rows are dealt by ranges and sorted in place; only the
-    number of rows per partition is collected."""
+    number of rows per partition is collected. The sorted rows are written, for ranges are drawn anew in every run."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    rows = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    rows = written(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
     sizes = {r.p: r.n for r in rows.groupBy(F.shiftright("_at", 33).alias("p")).agg(F.count("*").alias("n")).collect()}
     begin, total = [], 0
     for p in range(max(sizes, default=0) + 1):

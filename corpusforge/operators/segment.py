@@ -16,10 +16,12 @@ SUBSECTIONS = {"mk": (r"точка\s+(\d+)", r"Ставот?\s+(\d+)"), "sq": (r
 
 def numbered_parts(body: Column, pattern: str, number: str) -> Column:
     """Array of (pos, number, body): what follows each match up to the next, stripped; text before the first is dropped."""
-    parts = F.split(F.regexp_replace(body, pattern, f"{CUT}{number}{CUT}"), CUT)
-    pairs = F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2))
-    made = F.transform(pairs, lambda i: F.struct(((i - 1) / 2).cast("int").alias("pos"), F.get(parts, i).alias("number"), t.strip(F.get(parts, i + 1)).alias("body")))
-    return F.when(F.size(parts) >= 3, made).otherwise(F.array().cast("array<struct<pos:int,number:string,body:string>>"))
+    def made(parts: Column) -> Column:
+        pairs = F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2))
+        some = F.transform(pairs, lambda i: F.struct(((i - 1) / 2).cast("int").alias("pos"), F.get(parts, i).alias("number"), t.strip(F.get(parts, i + 1)).alias("body")))
+        return F.when(F.size(parts) >= 3, some).otherwise(F.array().cast("array<struct<pos:int,number:string,body:string>>"))
+
+    return t.bound(F.split(F.regexp_replace(body, pattern, f"{CUT}{number}{CUT}"), CUT), made)
 
 
 def last_of(rows: DataFrame, keys: list[str]) -> DataFrame:
