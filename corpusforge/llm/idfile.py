@@ -117,7 +117,10 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
     spark = docs.sparkSession
     folder = folder or shared_dir(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    some = [r.text for r in rows.orderBy(F.xxhash64("doc_id"), "text").limit(SAMPLE).collect()]
+    # a hash bound leaves about twice the sample, so that tasks don't each send as many texts as the sample has
+    share = min(1.0, 2 * SAMPLE / max(1, rows.count()))
+    near = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30)))
+    some = [r.text for r in near.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "text").limit(SAMPLE).collect()]
     enc = encoder(tokenizer)
     end = enc.pack([end_id])
     raw = train([x + end for x in enc.encode(some)])
