@@ -26,14 +26,17 @@ def query(sql: str | None = None):
     return add
 
 
-METHOD = F.when(F.col("idx") % 4 == 0, "structural_gc").when(F.col("idx") % 4 == 1, "structural").when(F.col("idx") % 4 == 2, "gale_church").otherwise("dense")
+def method_of(i):
+    return F.when(i % 4 == 0, "structural_gc").when(i % 4 == 1, "structural").when(i % 4 == 2, "gale_church").otherwise("dense")
+
+
 SQL_METHOD = "case idx % 4 when 0 then 'structural_gc' when 1 then 'structural' when 2 then 'gale_church' else 'dense' end"
 REPORT = f"{v.SCORED}, rep as (select *, {SQL_METHOD} as method, 1990 + pair_id % 30 as year, len({v.sql_words('mk')}) as a, len({v.sql_words('sq')}) as b from scored_pairs)"
 
 
 def report(spark, sf):
     s = v.scored_pairs(spark, sf)
-    return s.withColumns({"method": METHOD, "year": F.lit(1990) + F.col("pair_id") % 30, "a": t.word_count(F.col("mk")), "b": t.word_count(F.col("sq"))})
+    return s.withColumns({"method": method_of(F.col("idx")), "year": F.lit(1990) + F.col("pair_id") % 30, "a": t.word_count(F.col("mk")), "b": t.word_count(F.col("sq"))})
 
 
 @query("with q as (select doc_id, case when length(text) < 300 then 'short' when length(regexp_replace(text, '[^0-9]', '', 'g')) / length(text) > 0.05 then 'digits' when len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) > 2000 then 'long' else '' end as reason from documents) select reason, count(*) as n from q group by reason")
