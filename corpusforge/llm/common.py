@@ -21,7 +21,6 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:  # tests and single machines only
         base = tempfile.mkdtemp(prefix="forge-")
         spark.sparkContext.setCheckpointDir(base)
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/forge-{uuid.uuid4().hex}"
 
 
