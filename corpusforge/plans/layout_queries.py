@@ -17,7 +17,7 @@ def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLES[f.__name__] = sql
+            ORACLES[f.__name__] = v.sql_counts(sql)
         return f
 
     return add
@@ -40,7 +40,7 @@ MARK = r"^(On|The)\b"
 def layout_transitions(spark, sf):
     p = v.pages(spark, sf)
     tr = layout.transitions(p, (0.55, 0.45), (0.5, 0.45))
-    return tr.join(layout.boundary_pages(p, MARK), "doc_id").select("doc_id", "hard", "soft", "transition", "marker")
+    return tr.join(layout.boundary_pages(p, MARK), "doc_id").select("doc_id", *[F.col(c).cast("long").alias(c) for c in ("hard", "soft", "transition", "marker")])
 
 
 DECIDED = f"""b_ as (select doc_id, coalesce(marker, coalesce(hard, soft)) as boundary from tr_),
@@ -52,7 +52,7 @@ select doc_id, case when not any_lat then 'single' when share >= 0.5 then 'two_c
 round(case when not any_lat then 0.9 when share >= 0.5 then least(share + 0.1, 1.0) when coalesce(before > 0.5 and after > 0.3, false) then (before + after) / 2 else 0.5 end, 9) as confidence, case when coalesce(before > 0.5 and after > 0.3, false) then boundary end as boundary from g_""")
 def layout_decision(spark, sf):
     d = layout.decide(v.pages(spark, sf), (F.col("lat") > 0.42) & (F.col("cyr") > 0.42), mark=MARK)
-    return d.select("doc_id", "layout", F.round("confidence", 9).alias("confidence"), "boundary")
+    return d.select("doc_id", "layout", F.round("confidence", 9).alias("confidence"), F.col("boundary").cast("long").alias("boundary"))
 
 
 @query(f"""with {v.BOXES}, g as (select *, row_number() over (partition by doc_id order by round(top, 1), x0, k) as at_, abs(top - lag(top) over (partition by doc_id order by round(top, 1), x0, k)) > 3.0 as new_ from boxes),

@@ -19,7 +19,7 @@ def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLES[f.__name__] = sql
+            ORACLES[f.__name__] = v.sql_counts(sql)
         return f
 
     return add

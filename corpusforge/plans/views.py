@@ -133,3 +133,16 @@ as_ as (select pair_id, {sql_sentences("s_text")} as a, {sql_sentences("t_text")
 articles as (select pair_id, 's' as side, array_to_string(list_transform(a, lambda s, i: case when (i - 1) % 3 = 0 then 'Член ' || ((i - 1) // 3 + 1)::varchar || ' ' || s else s end), ' ') as body from as_
   union all select pair_id, 't', array_to_string(list_transform(b, lambda s, i: case when (i - 1) % 3 = 0 and ((i - 1) // 3) % 7 <> 0 then 'Neni ' || ((i - 1) // 3 + 1)::varchar || ' ' || s else s end), ' ') from as_)"""
 VECTORS = "vectors as (select label as grp, case when vec_id % 2 = 0 then 's' else 't' end as side, vec_id as i, embedding::double[] as v from embeddings)"
+
+
+def sql_counts(sql: str) -> str:
+    """count_if is a HUGEINT in DuckDB; the count of a case is a BIGINT."""
+    while (at := sql.find("count_if(")) >= 0:
+        depth, quoted, end = 1, False, at + len("count_if(")
+        while depth:
+            c = sql[end]
+            quoted ^= c == "'"
+            depth += 0 if quoted else (c == "(") - (c == ")")
+            end += 1
+        sql = f"{sql[:at]}count(case when {sql[at + len('count_if(') : end - 1]} then 1 end){sql[end:]}"
+    return sql
