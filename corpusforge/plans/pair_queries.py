@@ -206,23 +206,23 @@ sig as (select pair_id, idx, list_transform({PERMS}, lambda p: coalesce(list_min
 
 @query(f"with {SIGS} select pair_id, idx, md5(array_to_string(sig, ',')) as signature from sig")
 def dedup_signature(spark, sf):
-    return v.sent_pairs(spark, sf).select("pair_id", F.col("idx").cast("long").alias("idx"), md5(F.array_join(dedup.signature(F.col("mk"), K).cast("array<string>"), ",")).alias("signature"))
+    return v.sent_pairs(spark, sf).select("pair_id", F.col("idx").cast("long").alias("idx"), md5(F.array_join(dedup.signature(F.col("mk")).cast("array<string>"), ",")).alias("signature"))
 
 
 @query(f"with {SIGS}, b as (select pair_id, idx, unnest(range({B})) as band, sig from sig) select band, md5(array_to_string(sig[band * {R} + 1 : band * {R} + {R}], ',')) as key, count(*) as n from b group by all having count(*) > 1")
 def dedup_buckets(spark, sf):
-    s = v.sent_pairs(spark, sf).select(F.posexplode(dedup.bands(dedup.signature(F.col("mk"), K), B, R)).alias("band", "key"))
+    s = v.sent_pairs(spark, sf).select(F.posexplode(dedup.bands(dedup.signature(F.col("mk")))).alias("band", "key"))
     return s.groupBy(F.col("band").cast("long").alias("band"), "key").agg(F.count("*").alias("n")).filter("n > 1")
 
 
 @query()
 def dedup_greedy(spark, sf):
     """Pairs that stay when each is dropped that collides on either side with an earlier kept one."""
-    return dedup.greedy(doubled(spark, sf), ["mk", "sq"], "ord", K, B, R).select("pair_id", "idx", "ord")
+    return dedup.greedy(doubled(spark, sf), ["mk", "sq"], "ord").select("pair_id", "idx", "ord")
 
 
 @query()
 def dedup_greedy_early(spark, sf):
     """The first generation's form: both sides in one text, case kept."""
     d = doubled(spark, sf).select("ord", F.concat("mk", F.lit(" ||| "), "sq").alias("both"))
-    return dedup.greedy(d, ["both"], "ord", K, B, R).select("ord")
+    return dedup.greedy(d, ["both"], "ord").select("ord")
