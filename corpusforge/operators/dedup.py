@@ -9,6 +9,8 @@ from corpusforge.functions import text as t
 from corpusforge.sources.storage import written
 
 PRIME = 2147483647
+#: So many open rows at most are decided one after the other on the driver.
+FEW = 20_000
 
 
 def keep_first(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
@@ -60,21 +62,38 @@ def buckets(df: DataFrame, sides: list[str], order: str, k: int = 128, b: int =
     return out
 
 
-def greedy(df: DataFrame, sides: list[str], order: str, k: int = 128, b: int = 3, r: int = 42, rounds: int = 100) -> DataFrame:
+def in_sequence(rows: DataFrame, state: DataFrame, order: str) -> DataFrame:
+    """The open rows that the sequential rule keeps, where few are open."""
+    open_, kept = (rows.join(state.filter(F.col("state") == k).select(order), order) for k in (0, 1))
+    held = kept.select("side", "band", "key").distinct().withColumn("_held", F.lit(True))
+    taken, late, of = set(), set(), {}
+    for o, *bucket, is_held in open_.join(held, ["side", "band", "key"], "left").select(order, "side", "band", "key", "_held").collect():
+        of.setdefault(o, []).append(tuple(bucket))
+        if is_held:
+            late.add(o)
+    keep = []
+    for o in sorted(of):
+        if o not in late and taken.isdisjoint(of[o]):
+            taken.update(of[o])
+            keep.append((o,))
+    return rows.sparkSession.createDataFrame(keep, state.select(order).schema)
+
+
+def greedy(df: DataFrame, sides: list[str], order: str, k: int = 128, b: int = 3, r: int = 42, few: int = FEW) -> DataFrame:
     """Rows in order, each dropped if a bucket of it holds an earlier kept row; dropped rows occupy no bucket.
 
     A bucket's rows collide with each other, so its least row that isn't dropped decides: a row that is the least of all
     its buckets is kept, a row with an earlier kept one in a bucket is dropped, until none is open. Buckets pass minima
-    only, never pairs.
+    only, never pairs. Every round decides the least open row at least; chains, which settle a row a round, are left to
+    the driver once ``few`` rows are open.
     """
     rows = written(buckets(df.select(order, *sides), sides, order, k, b, r))
     state = written(rows.select(order).distinct().withColumn("state", F.lit(0)))  # 0 open, 1 kept, 2 dropped
-    for _ in range(rounds):
-        if state.filter("state = 0").isEmpty():
-            break
+    while (n := state.filter("state = 0").count()) > few:
         alive = rows.join(state.filter("state < 2"), order)
         least = alive.groupBy("side", "band", "key").agg(F.min(order).alias("_least"), F.min(F.when(F.col("state") == 1, F.col(order))).alias("_kept"))
         seen = alive.filter("state = 0").join(least, ["side", "band", "key"]).groupBy(order).agg(F.bool_and(F.col("_least") == F.col(order)).alias("_first"), F.coalesce(F.bool_or(F.col("_kept") < F.col(order)), F.lit(False)).alias("_late"))
         seen = seen.select(order, F.when(F.col("_late"), 2).when(F.col("_first"), 1).otherwise(0).alias("_new"))
         state = written(state.join(seen, order, "left").select(order, F.coalesce("_new", "state").alias("state")))
-    return df.join(state.filter("state = 1").select(order), order, "left_semi")
+    kept = state.filter("state = 1").select(order)
+    return df.join(kept.unionByName(in_sequence(rows, state, order)) if n else kept, order, "left_semi")

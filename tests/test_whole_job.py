@@ -64,3 +64,15 @@ def test_bands_of_42_rows(spark, related):
             key = (k, hashlib.md5(x.encode()).hexdigest())
             count[key] = count.get(key, 0) + 1
     assert {(r.band, r.key): r.n for r in pair_queries.dedup_buckets(spark, related).collect()} == {k: n for k, n in count.items() if n > 1}
+
+
+def chain(spark, n):
+    """Rows each of which shares a bucket with its neighbours only."""
+    return spark.range(n).select(F.col("id").alias("ord"), F.lit("mk").alias("side"), F.posexplode(F.array(F.floor(F.col("id") / 2), F.floor((F.col("id") + 1) / 2))).alias("band", "key")).withColumn("key", F.col("key").cast("string"))
+
+
+@pytest.mark.parametrize("n, few", [(400, dedup.FEW), (400, 380), (9, 0)])
+def test_chains_are_decided_to_the_end(spark, monkeypatch, n, few):
+    monkeypatch.setattr(dedup, "buckets", lambda *_: chain(spark, n))
+    df = spark.range(n).select(F.col("id").alias("ord"), F.lit("").alias("mk"))
+    assert sorted(r.ord for r in dedup.greedy(df, ["mk"], "ord", few=few).collect()) == list(range(0, n, 2))
