@@ -183,7 +183,7 @@ def dedup_exact(spark, sf):
 @query(f"with {v.PAIRS} select pair_id, idx from (select *, row_number() over (partition by pair_id, substr(mk, 1, 20), substr(sq, 1, 20) order by idx) as r from sent_pairs) where r = 1")
 def dedup_prefix(spark, sf):
     s = v.sent_pairs(spark, sf)
-    return dedup.keep_first(s, F.struct("pair_id", F.substring("mk", 1, 20), F.substring("sq", 1, 20)), ["idx"]).select("pair_id", F.col("idx").cast("long").alias("idx"))
+    return dedup.keep_first(s, F.struct("pair_id", F.substring("mk", 1, 120), F.substring("sq", 1, 120)), ["idx"]).select("pair_id", F.col("idx").cast("long").alias("idx"))
 
 
 @query(f"with {DOUBLED} select pair_id, idx, row_number() over (partition by {KEY} order by ord) > 1 as again from dup")

@@ -76,3 +76,10 @@ def test_chains_are_decided_to_the_end(spark, monkeypatch, n, few):
     monkeypatch.setattr(dedup, "buckets", lambda *_: chain(spark, n))
     df = spark.range(n).select(F.col("id").alias("ord"), F.lit("").alias("mk"))
     assert sorted(r.ord for r in dedup.greedy(df, ["mk"], "ord", few=few).collect()) == list(range(0, n, 2))
+
+
+def test_prefix_of_120_characters(spark, tmp_path):
+    opening = "In accordance with the decision of the assembly of the republic, "
+    source = " ".join(f"{opening}article {i} enters into force on the first day." for i in range(3)) + " " + " ".join(f"{'x' * 120} tail {i}." for i in range(2))
+    folder = documents(spark, tmp_path, [source], [source])
+    assert {r.idx for r in pair_queries.dedup_prefix(spark, folder).collect()} == {0, 1, 2, 3}
