@@ -4,8 +4,10 @@ First every page scores its containers: blocks give the length of their text wit
 container around them and half of it to the next one out, or to the article element or main landmark that they
 stand in. Containers are named by generalised paths: tags with classes and ids, digits replaced, positions left out.
 A page's votes are its containers' shares; Spark sums votes by host and path, and paths with at least ``KEEP`` of a
-host's best path win. Then every page is read again with its host's winning paths: the best one that the page has is extracted,
-all elements with that path, or the page's own best container if it has none of them.
+host's best path win. Then every page is read again with its host's winning paths: all elements with any of them are extracted,
+or those of the page's own winning paths if it has none. The document, html and body hold everything, so that as winners
+they give only what stands in them directly, unless one of them is the best that the page has. Where the best is an article
+element or main landmark, only winners of that kind are extracted.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, hidden elements and reader comments are
 left out everywhere, known by element, role or words of class and id. Character references are decoded, white space
@@ -188,16 +190,37 @@ class Page:
             inside[i] = p == path or (i > 0 and inside[self.around[i]])
         return [body for c, body, _ in self.blocks if inside[c]]
 
-    def text(self, winners: list[str]) -> str:
+    def within(self, winners: list[str]) -> list[str]:
+        """The blocks of all containers with a winning path, in page order; ``winners`` has the best first."""
         has = set(self.paths)
-        path = next((p for p in winners if p in has), None)
-        blocks = self.below(path) if path is not None else []
+        won = [p for p in winners if p in has]
+        if not won:
+            return []
+        if everything(won[0]):
+            return self.below(won[0])
+        mains = {p for p, main in zip(self.paths, self.main, strict=True) if main}
+        if won[0] in mains:
+            won = [p for p in won if p in mains]
+        direct, whole = set(won), {p for p in won if not everything(p)}
+        inside = [False] * len(self.paths)
+        for i, p in enumerate(self.paths):
+            inside[i] = p in whole or (i > 0 and inside[self.around[i]])
+        return [body for c, body, _ in self.blocks if inside[c] or self.paths[c] in direct or self.paths[max(0, self.around[c])] in direct]
+
+    def text(self, winners: list[str]) -> str:
+        blocks = self.within(winners)
         if not blocks:
             own = self.votes()
-            blocks = self.below(min(own, key=lambda p: (-own[p], p))) if own else [b for _, b, _ in self.blocks]
+            least = KEEP * max(own.values(), default=0.0)
+            blocks = self.within(sorted((p for p in own if own[p] >= least), key=lambda p: (-own[p], p))) if own else [b for _, b, _ in self.blocks]
         return "\n".join(blocks)
 
 
+def everything(path: str) -> bool:
+    """Whether a path is that of the document, html or body."""
+    return re.split(r"[.#]", path.rsplit("/", 1)[-1], maxsplit=1)[0] in ("", "html", "body")
+
+
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
