@@ -20,6 +20,7 @@ texts have equal scores. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
@@ -40,10 +41,13 @@ TOLD, MORE = 12.0, 6.0  # likelihood ratio and ratio of rates from which a subse
 SAMPLE = 1_500
 CACHE = 1_000_000
 LONG = 64  # a longer word is read in overlapping windows of this length
+WINDOW, STEP = 16, 4  # windows over every word longer than that, so that up to 13 letters stand in one whole
+MANY = 16_384  # forms that are compared at once
 ALPHABET = 64
 
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 SPACED = re.compile(r"(?<!\S)(?:\w[\s.*_-]+){2,}\w(?!\w)")
+APART = re.compile(r"[\W\d_]+")
 EDGE = "\"'`.,;:!?()[]{}<>|*_-–—…«»“”„"
 
 
@@ -71,13 +75,27 @@ def kernel(a: str, b: str) -> float:
     return sum(w * y.get(f, 0.0) for f, w in x.items()) / (norm(x) * norm(y))
 
 
-def forms(token: str) -> list[str]:
-    """What a token is compared as: without marks at its ends, and with letters only where marks stand inside."""
+def whole_forms(token: str) -> list[str]:
+    """A token without marks at its ends; where marks stand inside, also with letters only and split at them."""
     s = token.strip(EDGE)
     out = [s] if len(s) <= LONG else [s[i : i + LONG] for i in range(0, len(s) - LONG // 2, LONG // 2)]
-    if not s.isalpha() and len(letters := "".join(filter(str.isalpha, s[: 2 * LONG]))) >= 3:
-        out.append(letters[:LONG])
-    return [w for w in out if len(w) >= 3]
+    if not s.isalpha():
+        letters = "".join(filter(str.isalpha, s))
+        out += [letters] if len(letters) <= LONG else [letters[i : i + LONG] for i in range(0, len(letters) - LONG // 2, LONG // 2)]
+        out += [w for part in APART.split(s) for w in ([part] if len(part) <= LONG else windows(part))]
+    return [w for w in dict.fromkeys(out) if len(w) >= 3]
+
+
+def windows(s: str) -> list[str]:
+    """Overlapping parts of about twice an insult's length, to the very end."""
+    return [s[i : i + WINDOW] for i in range(0, len(s) - WINDOW + STEP, STEP)] if len(s) > WINDOW else []
+
+
+def forms(token: str) -> list[str]:
+    """What a token is compared as: its whole forms, and windows over the token and over its letters."""
+    s = token.strip(EDGE)
+    letters = "" if s.isalpha() else "".join(filter(str.isalpha, s))
+    return list(dict.fromkeys([*whole_forms(token), *windows(s), *windows(letters)])) if len(s) > WINDOW else whole_forms(token)
 
 
 class Model:
@@ -156,13 +174,13 @@ class Model:
 
     def likenesses(self, tokens: list[str]) -> dict[int, np.ndarray]:
         """The similarities of the tokens that are like a telling landmark; of a token's forms the one most like one."""
-        flat = [(i, w) for i, t in enumerate(tokens) for w in forms(t)]
-        ok = self.reachable([w for _, w in flat]) if flat else []
-        near = [x for x, y in zip(flat, ok, strict=True) if y]
         out: dict[int, np.ndarray] = {}
-        for (i, _), v in zip(near, self.similar([w for _, w in near]), strict=True):
-            if (m := v[: self.telling].max()) > FLOOR and (i not in out or m > out[i][: self.telling].max()):
-                out[i] = v
+        for flat in itertools.batched(((i, w) for i, t in enumerate(tokens) for w in forms(t)), MANY):
+            ok = self.reachable([w for _, w in flat])
+            near = [x for x, y in zip(flat, ok, strict=True) if y]
+            for (i, _), v in zip(near, self.similar([w for _, w in near]), strict=True):
+                if (m := v[: self.telling].max()) > FLOOR and (i not in out or m > out[i][: self.telling].max()):
+                    out[i] = v
         return out
 
     def words(self, text: str) -> list[str]:
@@ -325,7 +343,7 @@ def fit(texts: list[str], toxic: list[bool]) -> Model:
     n1, n0 = int(y.sum()), int((~y).sum())
     if not n1 or not n0:
         return Model([], 0, n1 / len(y) if len(y) else 0.0)
-    words = [{w for token in t.lower().split() for w in forms(token)} for t in texts]
+    words = [{w for token in t.lower().split() for w in whole_forms(token)} for t in texts]
     m = Model(*landmarks_of(words, y), n1 / len(y))
     if not m.telling:
         return m
