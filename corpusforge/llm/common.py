@@ -47,6 +47,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def existing(spark: SparkSession, path: str) -> list[str]:
+    """The path, if there is such a folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return [path] if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p) else []
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -1,350 +1,578 @@
 """Language-model scores by a hierarchical Pitman-Yor model over words.
 
-A word is drawn in the restaurant of its context, the class of the word before it (``FINE`` classes by hash; a text begins
-in a class of its own). Context restaurants share parents (``COARSE`` classes of contexts), whose customers are the
-contexts' tables, and these share the root, whose base is uniform over the known words and one unknown word. Seating is
-sampled by Gibbs sweeps: each sweep draws, for every dish of every restaurant, its number of tables given its customers,
-the rest of the restaurant and the parent's probability (generalised Stirling numbers weigh the seatings of customers at
-tables). Parents follow their children in a sweep; totals of restaurants are those of the sweep before. Discounts come
-from counts of counts, concentrations from a grid under the likelihood of the seating. The probability of a word is the average of
-the predictive probabilities of the last ``KEPT`` sweeps, each with its own totals, so that it sums to 1.
-
-Dishes are dealt by word: everything of a word, at most ``FINE`` contexts, is in one bucket, and only the restaurants' totals
-(``FINE + COARSE + 1`` numbers) reach the driver. Texts are read in blocks of about ``BLOCK`` bytes: a block sends each bucket
-its distinct words and word-context pairs with counts once, and gets back, in the same order, their counts and probabilities. So a frequent word
-is one row per block. Words are known by 64-bit hashes.
-
-Counts of dishes are exact; the seating of a dish with over ``MOST`` customers is drawn as if it had so many, with up to
-``TABLES`` tables. Null text: as empty (the end token alone). Null ids: hashed with the text to a block; held out like the text ''.
-Repeated rows each count and score. An empty table gives an empty table. Extra columns are ignored.
+A word is drawn in the restaurant of its context, the word before it (a text begins in a context of its own). All context
+restaurants share one parent, the restaurant of the empty context, whose customers are their tables and whose base is
+uniform over the known words and one unknown word. So a context that was never seen backs off to its suffix. Seating is
+sampled by Gibbs sweeps: a sweep draws, for every dish of every restaurant, its number of tables given its customers,
+the rest of the restaurant and the parent's probability; generalised Stirling numbers weigh the seatings of customers
+at tables. Dishes of a sweep are drawn side by side, with the totals of the sweep before. Discounts come from counts of
+counts, concentrations from a grid under the likelihood of the seating. The probability of a word is the average of the
+predictive probabilities of the last ``KEPT`` sweeps, each with its own totals, so that it sums to 1; the perplexity of
+a text is 10 to the power of minus its score by token.
+
+Texts are read once, in blocks of about ``BLOCK`` bytes within the tasks of the scan, and kept as places in the block's
+vocabulary. Words (64-bit hashes) are dealt to word buckets, which count them and name them by rank. Dishes, pairs of
+names, are dealt to pair buckets by a hash of both, so that neither a frequent word nor a frequent context is in one
+place. In a sweep a pair bucket sends each word bucket its sums of tables by context and by word and gets back the
+totals of these; every message holds a word or a pair once, however often it occurs. What reaches the driver are a few
+sums a sweep.
+
+A dish of up to ``EXACT`` customers is drawn exactly. One with more is drawn exactly for its first ``EXACT`` and then in
+steps of a sixteenth: the odds of a new table at customer j of c are w g / (j - d t), where g, what a table more is worth
+to the customers after j, is ((j + K) / (c + K)) ** d with K ** (1 - d) * (c + K) ** d = w in the limit of many customers.
+Mean tables are within 2 % of the exact ones (tested at 4,096 customers).
+
+Null text: as empty (the end token alone). Null ids: held out like the text ''. Repeated rows each count and score. Very
+long texts are blocks of their own. An empty table gives an empty table. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import drop_path, forget, shared_dir, stored
+from corpusforge.llm.common import drop_path, existing, forget, shared_dir, stored
 
-FINE, COARSE = 4096, 64
 SWEEPS, KEPT = 4, 2
-BLOCK = 8_000_000
-MOST, TABLES = 1024, 128
+BLOCK = 6_000_000
+EXACT = 1024
 END, BEGIN = b"\n", b" "  # no word holds white space
 SEED = 7
-THETAS = (0.1, 0.3, 1.0, 3.0, 10.0, 30.0, 100.0, 300.0, 1e3, 3e3, 1e4, 3e4, 1e5, 1e6)
-
-
-class Block:
-    """The tokens of some texts: indices of distinct words, which are in order of bucket and hash."""
-
-    def __init__(self, texts: list[bytes], buckets: int):
-        from xxhash import xxh64_intdigest
-
-        split = [t.lower().split() for t in texts]
-        for x in split:
-            x.append(END)
-        self.lengths = np.array([len(x) for x in split], np.int64)
-        names = list({w for x in split for w in x})
-        h = np.array([xxh64_intdigest(w) for w in names], np.uint64)
-        order = np.lexsort((h, h % np.uint64(buckets)))
-        place = np.empty(len(names), np.int64)
-        place[order] = np.arange(len(names))
-        index = dict(zip(names, place.tolist(), strict=True))
-        self.hashes = h[order]
-        self.bucket = (self.hashes % np.uint64(buckets)).astype(np.int64)
-        self.tokens = np.fromiter((index[w] for x in split for w in x), np.int64, int(self.lengths.sum()))
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        kind = ((self.hashes >> np.uint64(40)) % np.uint64(FINE)).astype(np.int64)
-        context = np.empty(len(self.tokens), np.int64)
-        context[1:] = kind[self.tokens[:-1]]
-        context[self.starts] = (xxh64_intdigest(BEGIN) >> 40) % FINE
-        self.keys, self.where = np.unique(self.tokens * FINE + context, return_inverse=True)
+THETAS = (0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0, 30.0, 100.0, 300.0, 1e3, 3e3, 1e4, 3e4, 1e5, 1e6)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays, compressed byte plane by byte plane: sorted hashes, small counts and near numbers have planes that hardly vary."""
+    """Whole numbers from 0, in the least width that holds them, compressed byte plane by byte plane."""
     import zstandard
 
-    head = np.array([x for a in arrays for x in (a.dtype.itemsize, len(a))], "<i8")
-    return zstandard.compress(np.array([len(arrays)], "<i8").tobytes() + head.tobytes() + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays), 1)
+    parts = [np.ascontiguousarray(a, np.min_scalar_type(int(a.max()) if len(a) else 0)) for a in arrays]
+    head = np.array([x for a in parts for x in (a.dtype.itemsize, len(a))], "<i8")
+    return zstandard.compress(head.tobytes() + b"".join(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in parts), 1)
 
 
-def unpack(blob: bytes, kinds: str) -> list[np.ndarray]:
+def unpack(blob: bytes, n: int) -> list[np.ndarray]:
     import zstandard
 
     raw = zstandard.decompress(blob)
-    n = int(np.frombuffer(raw, "<i8", 1)[0])
-    head = np.frombuffer(raw, "<i8", 2 * n, 8).reshape(-1, 2)
-    at, out = 8 + 16 * n, []
-    for k, (size, length) in zip(kinds, head.tolist(), strict=True):
+    at, out = 16 * n, []
+    for size, length in np.frombuffer(raw, "<i8", 2 * n).reshape(-1, 2).tolist():
         planes = np.frombuffer(raw, np.uint8, size * length, at).reshape(size, length)
-        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(f"<{k}{size}"))
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(f"<u{size}"))
         at += size * length
     return out
 
 
-def requests(texts: list[bytes], train: np.ndarray, buckets: int):
-    """bucket and blob: a block's words (hashes), pairs per word, contexts, and counts in training texts."""
-    b = Block(texts, buckets)
-    count = np.bincount(b.where, np.repeat(train, b.lengths).astype(np.float64), len(b.keys)).astype(np.uint32)
-    word = b.keys // FINE
-    pairs = np.bincount(word, minlength=len(b.hashes)).astype(np.uint16)
-    ends = np.cumsum(pairs.astype(np.int64))
-    cuts = np.searchsorted(b.bucket, np.arange(buckets + 1))
-    for q in range(buckets):
-        s, e = cuts[q], cuts[q + 1]
-        if s < e:
-            ks, ke = (ends[s - 1] if s else 0), ends[e - 1]
-            yield q, pack(b.hashes[s:e], pairs[s:e], (b.keys[ks:ke] % FINE).astype(np.uint16), count[ks:ke])
-
-
-class Dishes:
-    """A bucket's words with their customers by context, and the seating on all levels."""
-
-    def __init__(self, hashes: np.ndarray, word: np.ndarray, fine: np.ndarray, count: np.ndarray):
-        self.hashes, self.word, self.fine, self.count = hashes, word, fine.astype(np.int64), count.astype(np.int64)
-        up = self.word * COARSE + self.fine % COARSE
-        pairs, self.up = np.unique(up, return_inverse=True)
-        self.coarse, self.pair_word = pairs % COARSE, pairs // COARSE
-        self.t2 = np.ones(len(self.fine), np.int64)
-        self._sum()
-        self.t1 = np.ones(len(self.coarse), np.int64)
-        self._root()
-        self.t0 = np.ones(len(self.hashes), np.int64)
-
-    def _sum(self) -> None:
-        self.c1 = np.bincount(self.up, self.t2, len(self.coarse)).astype(np.int64)
-
-    def _root(self) -> None:
-        self.c0 = np.bincount(self.pair_word, self.t1, len(self.hashes)).astype(np.int64)
-
-    def totals(self) -> np.ndarray:
-        """Customers by context, tables by context and by parent and of the root, words, and counts of counts."""
-        few = [float((c == k).sum()) for c in (self.count, self.c1, self.c0) for k in (1, 2)]
-        return np.concatenate([
-            np.bincount(self.fine, self.count, FINE), np.bincount(self.fine, self.t2, FINE), np.bincount(self.coarse, self.t1, COARSE), [float(self.t0.sum()), float(len(self.hashes))], few,
-        ])
-
-    def sweep(self, m: "Totals", rng: np.random.Generator) -> None:
-        root = m.root(self.c0, self.t0)
-        coarse = m.coarse(self.c1, self.t1, self.coarse, root[self.pair_word])
-        self.t2 = m.draw(2, self.count, (m.theta[2] + m.d[2] * m.tables2[self.fine]) * coarse[self.up], rng)
-        self._sum()
-        self.t1 = m.draw(1, self.c1, (m.theta[1] + m.d[1] * m.tables1[self.coarse]) * root[self.pair_word], rng)
-        self._root()
-        self.t0 = m.draw(0, self.c0, np.full(len(self.c0), (m.theta[0] + m.d[0] * m.tables0) * m.base), rng)
-
-    def predict(self, m: "Totals", word: np.ndarray, fine: np.ndarray) -> np.ndarray:
-        """Probabilities of pairs of a word (index, or -1: unknown) and a context."""
-        root = np.append(m.root(self.c0, self.t0), m.root(np.zeros(1), np.zeros(1)))
-        n, g = len(self.hashes), fine % COARSE
-
-        def held(keys, have, c, t):
-            if not len(have):
-                return np.zeros(len(keys)), np.zeros(len(keys))
-            at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
-            ok = have[at] == keys
-            return np.where(ok, c[at], 0), np.where(ok, t[at], 0)
-
-        w = np.where(word < 0, n, word)
-        c1, t1 = held(w * COARSE + g, self.pair_word * COARSE + self.coarse, self.c1, self.t1)
-        c2, t2 = held(w * FINE + fine, self.word * FINE + self.fine, self.count, self.t2)
-        coarse = m.coarse(c1, t1, g, root[w])
-        return (c2 - m.d[2] * t2 + (m.theta[2] + m.d[2] * m.tables2[fine]) * coarse) / (m.theta[2] + m.customers2[fine])
-
-
-class Totals:
-    """What all buckets share in a sweep: totals of the restaurants, discounts and concentrations."""
-
-    def __init__(self, v: np.ndarray):
-        self.customers2, self.tables2, self.tables1 = v[:FINE], v[FINE : 2 * FINE], v[2 * FINE : 2 * FINE + COARSE]
-        self.tables0, self.words = v[2 * FINE + COARSE : 2 * FINE + COARSE + 2]
-        few = v[2 * FINE + COARSE + 2 :].reshape(3, 2)[::-1]  # root first
-        self.customers1 = np.bincount(np.arange(FINE) % COARSE, self.tables2, COARSE)
-        self.customers0 = self.tables1.sum()
-        self.n = float(self.customers2.sum())
-        self.base = 1.0 / (self.words + 1)
-        self.d = [min(0.95, max(0.05, (a + 0.5) / (a + 2 * b + 1))) for a, b in few.tolist()]
-        levels = [(np.array([self.customers0]), np.array([self.tables0])), (self.customers1, self.tables1), (self.customers2, self.tables2)]
-        self.theta = [max(THETAS, key=lambda th, c=c, t=t, d=d: seating(th, d, c, t)) for (c, t), d in zip(levels, self.d, strict=True)]
-        self.stirling: dict[int, np.ndarray] = {}
-
-    def root(self, c, t):
-        return (c - self.d[0] * t + (self.theta[0] + self.d[0] * self.tables0) * self.base) / (self.theta[0] + self.customers0)
-
-    def coarse(self, c, t, g, root):
-        return (c - self.d[1] * t + (self.theta[1] + self.d[1] * self.tables1[g]) * root) / (self.theta[1] + self.customers1[g])
-
-    def draw(self, level: int, c: np.ndarray, weight: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        """Numbers of tables given customers and the weight of a new table."""
-        if level not in self.stirling:
-            self.stirling[level] = stirling(self.d[level])
-        s, out = self.stirling[level], np.minimum(c, 1)
-        u, log = rng.random(len(c)), np.log(np.maximum(weight, 1e-300))
-        lo = 2
-        while lo <= MOST:
-            hi = 2 * lo - 1 if 2 * lo - 1 < MOST else 1 << 62
-            at = np.flatnonzero((c >= lo) & (c <= hi))
-            top = min(hi, TABLES)
-            for k in range(0, len(at), 20_000):
-                a = at[k : k + 20_000]
-                p = s[np.minimum(c[a], MOST), 1 : top + 1] + np.arange(1, top + 1) * log[a][:, None]
-                p = np.cumsum(np.exp(p - p.max(axis=1, keepdims=True)), axis=1)
-                out[a] = 1 + (p < (u[a] * p[:, -1])[:, None]).sum(axis=1)
-            lo *= 2
-        return out
-
-
-def seating(theta: float, d: float, customers: np.ndarray, tables: np.ndarray) -> float:
-    """The part of the log likelihood of seatings that depends on the concentration."""
-    out = 0.0
-    for c, t in zip(customers.tolist(), tables.tolist(), strict=True):
-        if c > 0:
-            out += (t - 1) * math.log(d) + math.lgamma(theta / d + t) - math.lgamma(theta / d + 1) - math.lgamma(theta + c) + math.lgamma(theta + 1)
-    return out
+def steps(a: np.ndarray) -> np.ndarray:
+    """Differences, modulo 2**64, whose running sum gives ``a`` back."""
+    a = a.astype(np.uint64)
+    return np.diff(a, prepend=np.uint64(0))
+
 
+def runs(of: np.ndarray):
+    """Number, start and end of every run of sorted numbers."""
+    q, start = np.unique(of, return_index=True)
+    return zip(q.tolist(), start.tolist(), [*start.tolist(), len(of)][1:], strict=False)
 
-def stirling(d: float) -> np.ndarray:
+
+class Block:
+    """Texts as places in a vocabulary that is in order of bucket and hash."""
+
+    def __init__(self, lengths: np.ndarray, tokens: np.ndarray, begin: int, n: int):
+        self.lengths, self.tokens, self.begin, self.n = lengths.astype(np.int64), tokens.astype(np.int64), int(begin), n
+
+    @classmethod
+    def read(cls, texts: list[bytes], buckets: int) -> tuple["Block", np.ndarray]:
+        """The block and its words' hashes."""
+        from xxhash import xxh64_intdigest
+
+        place: defaultdict[bytes, int] = defaultdict()
+        place.default_factory = place.__len__
+        place[BEGIN], get, parts = 0, place.__getitem__, []
+        for t in texts:
+            w = t.lower().split()  # bytes: A-Z only, and splits at space and bytes 9 to 13 only
+            w.append(END)
+            parts.append(np.fromiter(map(get, w), np.int32, len(w)))
+        h = np.fromiter(map(xxh64_intdigest, place), np.uint64, len(place))
+        order = np.lexsort((h, h % np.uint64(buckets)))
+        rank = np.empty(len(h), np.int32)
+        rank[order] = np.arange(len(h), dtype=np.int32)
+        return cls(np.array([len(p) for p in parts]), rank[np.concatenate(parts)], rank[0], len(h)), h[order]
+
+    def packed(self) -> bytes:
+        return pack(self.lengths, self.tokens, np.array([self.begin, self.n]))
+
+    @classmethod
+    def unpacked(cls, blob: bytes) -> "Block":
+        lengths, tokens, (begin, n) = unpack(blob, 3)
+        return cls(lengths, tokens, begin, int(n))
+
+    def counts(self, held: np.ndarray) -> np.ndarray:
+        """How often the words stand in texts that aren't held out; for the begin, the number of these texts."""
+        c = np.bincount(self.tokens, np.repeat(~held, self.lengths), self.n)
+        c[self.begin] = (~held).sum()
+        return c.astype(np.int64)
+
+    def pairs(self, names: np.ndarray, buckets: int) -> None:
+        """Distinct pairs of context and word, and those of named words in order of their bucket."""
+        context = np.empty(len(self.tokens), np.int64)
+        context[1:] = self.tokens[:-1]
+        context[np.cumsum(self.lengths) - self.lengths] = self.begin
+        keys, self.where = np.unique(context * self.n + self.tokens, return_inverse=True)
+        self.context, self.word = keys // self.n, keys % self.n
+        self.named = np.flatnonzero((names[self.context] > 0) & (names[self.word] > 0))
+        u, w = ((names[x[self.named]] - 1).astype(np.uint64) for x in (self.context, self.word))
+        mixed = (u * np.uint64(0x9E3779B97F4A7C15)) ^ (w * np.uint64(0xC2B2AE3D27D4EB4F))
+        bucket = ((mixed ^ (mixed >> np.uint64(29))) >> np.uint64(3)) % np.uint64(buckets)
+        order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+        self.named, self.bucket, self.u, self.w = self.named[order], bucket[order], u[order], w[order]
+
+
+def asked_pairs(b: Block, held: np.ndarray):
+    """bucket and blob: contexts with runs, words, and counts in texts that aren't held out."""
+    count = np.bincount(b.where, np.repeat(~held, b.lengths), len(b.context)).astype(np.int64)[b.named]
+    for q, s, e in runs(b.bucket):
+        u = b.u[s:e]
+        start = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
+        yield q, pack(u[start], np.diff(start, append=len(u)), b.w[s:e], count[s:e])
+
+
+class Pairs:
+    """The dishes of a pair bucket: places of context and word in lists of names in order of word bucket, and customers."""
+
+    def __init__(self, us, ws, ui, wi, c, buckets: int):
+        self.us, self.ws, self.ui, self.wi, self.c, self.buckets = us, ws, ui.astype(np.int64), wi.astype(np.int64), c.astype(np.int64), buckets
+
+    @classmethod
+    def merged(cls, blobs: list[bytes], buckets: int) -> "Pairs":
+        got = [unpack(b, 4) for b in blobs]
+        u = np.concatenate([np.repeat(g[0].astype(np.int64), g[1]) for g in got])
+        w, n = np.concatenate([g[2].astype(np.int64) for g in got]), np.concatenate([g[3].astype(np.int64) for g in got])
+        u, w, n = u[n > 0], w[n > 0], n[n > 0]
+
+        def places(x):
+            names, at = np.unique(x, return_inverse=True)
+            order = np.lexsort((names, names % buckets))
+            rank = np.empty(len(names), np.int64)
+            rank[order] = np.arange(len(names))
+            return names[order], rank[at]
+
+        (us, ui), (ws, wi) = places(u), places(w)
+        keys, at = np.unique(ui * max(1, len(ws)) + wi, return_inverse=True)
+        return cls(us, ws, keys // max(1, len(ws)), keys % max(1, len(ws)), np.bincount(at, n, len(keys)), buckets)
+
+    def packed(self) -> bytes:
+        return pack(steps(self.us), steps(self.ws), steps(self.ui), self.wi, self.c)
+
+    @classmethod
+    def unpacked(cls, blob: bytes, buckets: int) -> "Pairs":
+        us, ws, ui, wi, c = unpack(blob, 5)
+        sums = lambda x: np.cumsum(x.astype(np.uint64), dtype=np.uint64).astype(np.int64)
+        return cls(sums(us), sums(ws), sums(ui), wi, c, buckets)
+
+    def sums(self, t: np.ndarray):
+        """Word bucket and blob: names with tables by context, names with tables by word."""
+        by = [(self.us, np.bincount(self.ui, t, len(self.us))), (self.ws, np.bincount(self.wi, t, len(self.ws)))]
+        cut = [dict((q, (s, e)) for q, s, e in runs(x % self.buckets)) for x, _ in by]
+        for q in sorted(set(cut[0]) | set(cut[1])):
+            parts = []
+            for (names, n), at in zip(by, cut, strict=True):
+                s, e = at.get(q, (0, 0))
+                parts += [steps(names[s:e] // self.buckets), n[s:e].astype(np.int64)]
+            yield q, pack(*parts)
+
+    def seated(self, t: np.ndarray, told: list[tuple[int, bytes]], m: "Sweep", rng: np.random.Generator) -> np.ndarray:
+        """New numbers of tables; ``told`` has the word buckets' totals for this bucket's names."""
+        got = [unpack(b, 3) for _, b in sorted(told)]
+        tables, c1, t1 = (np.concatenate([g[i].astype(np.int64) for g in got]) for i in range(3))
+        return draw(self.c, (m.theta2 + m.d2 * (tables[self.ui] - t)) * m.shared(c1, t1)[self.wi], m.d2, rng)
+
+    def answer(self, blob: bytes, kept: list[np.ndarray]) -> bytes:
+        """Customers and kept tables of the pairs that a block asked for."""
+        u, n, w, _ = unpack(blob, 4)
+        u, w = np.repeat(u.astype(np.int64), n), w.astype(np.int64)
+        if not len(self.c):
+            return pack(*[np.zeros(len(u), np.int64)] * (1 + len(kept)))
+
+        def places(names, x):
+            if not hasattr(self, "sorted"):
+                self.sorted = {}
+            if id(names) not in self.sorted:
+                order = np.argsort(names)
+                self.sorted[id(names)] = (names[order], order)
+            have, order = self.sorted[id(names)]
+            at = np.minimum(np.searchsorted(have, x), len(have) - 1)
+            return np.where(have[at] == x, order[at], -1)
+
+        ui, wi = places(self.us, u), places(self.ws, w)
+        keys, want = self.ui * len(self.ws) + self.wi, np.where((ui >= 0) & (wi >= 0), ui * len(self.ws) + wi, -1)
+        at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+        ok = keys[at] == want
+        return pack(*[np.where(ok, x[at], 0) for x in (self.c, *kept)])
+
+
+class Sweep:
+    """What all buckets share: discounts, concentrations, and totals of the parent restaurant."""
+
+    def __init__(self, v: dict[str, float], words: int):
+        self.d2, self.d1 = v["d2"], v["d1"]
+        self.theta2, self.theta1 = v["theta2"], v["theta1"]
+        self.customers, self.tables, self.base = v["c1"], v["t1"], 1.0 / (words + 1)
+
+    def shared(self, c, t):
+        """The probability in the empty context."""
+        return (c - self.d1 * t + (self.theta1 + self.d1 * self.tables) * self.base) / (self.theta1 + self.customers)
+
+    def predict(self, c, t, customers, tables, shared):
+        return (c - self.d2 * t + (self.theta2 + self.d2 * tables) * shared) / (self.theta2 + customers)
+
+
+def discount(once: float, twice: float) -> float:
+    return min(0.95, max(0.05, (once + 0.5) / (once + 2 * twice + 1)))
+
+
+def lgamma(x: np.ndarray) -> np.ndarray:
+    """Log gamma of positive numbers: Stirling's series, eight places up."""
+    y = x + 8
+    up = np.log(x * (x + 1) * (x + 2) * (x + 3)) + np.log((x + 4) * (x + 5) * (x + 6) * (x + 7))
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - up
+
+
+def likelihoods(d: float, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    """By concentration of the grid: the part of the log likelihood of restaurants' seating that depends on it."""
+    if not (tables > 0).any():
+        return np.zeros(len(THETAS))
+    kinds, n = np.unique(np.stack([customers, tables])[:, tables > 0], axis=1, return_counts=True)
+    c, t = kinds.astype(float)
+    return np.array([(n * (lgamma(th / d + t) - lgamma(th / d + np.ones(1)) - lgamma(th + c) + lgamma(th + np.ones(1)) + (t - 1) * math.log(d))).sum() for th in THETAS])
+
+
+_stirling: dict[float, np.ndarray] = {}
+
+
+def stirling(d: float, most: int = EXACT) -> np.ndarray:
     """Logs of generalised Stirling numbers: the weight of seating n customers at t tables."""
-    s = np.full((MOST + 1, TABLES + 1), -np.inf)
+    s = np.full((most + 1, most + 1), -np.inf)
     s[1, 1] = 0.0
-    t = np.arange(TABLES + 1)
+    t = np.arange(most + 1)
     with np.errstate(divide="ignore", invalid="ignore"):
-        for n in range(1, MOST):
-            stay = s[n] + np.log(np.maximum(n - t * d, 1e-300))
-            s[n + 1, 1:] = np.logaddexp(s[n, :-1], stay[1:])
+        for n in range(1, most):
+            s[n + 1, 1:] = np.logaddexp(s[n, :-1], (s[n] + np.log(np.maximum(n - t * d, 1e-300)))[1:])
     s[:, 0] = -np.inf
     return s
 
 
-def merged(blobs: list[bytes]) -> Dishes:
-    """The dishes of a bucket from all blocks' requests."""
-    got = [unpack(b, "uuuu") for b in blobs]
-    hashes, inverse = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
-    key, at = [], 0
-    for h, pairs, fine, _ in got:
-        key.append(np.repeat(inverse[at : at + len(h)], pairs) * FINE + fine)
-        at += len(h)
-    keys, inverse = np.unique(np.concatenate(key), return_inverse=True)
-    count = np.bincount(inverse, np.concatenate([g[3] for g in got]), len(keys)).astype(np.int64)
-    keys, count = keys[count > 0], count[count > 0]
-    words, word = np.unique(keys // FINE, return_inverse=True)
-    return Dishes(hashes[words], word, keys % FINE, count)
+def exact(c: np.ndarray, log: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of dishes with at most ``EXACT`` customers; ``log``: of the weight of a table."""
+    if d not in _stirling:
+        _stirling.clear()
+        _stirling[d] = stirling(d)
+    s, out, u, lo = _stirling[d], np.minimum(c, 1), rng.random(len(c)), 2
+    while lo <= EXACT:
+        top = min(2 * lo - 1, EXACT)
+        at = np.flatnonzero((c >= lo) & (c <= top))
+        size = max(1, 1_000_000 // top)
+        for k in range(0, len(at), size):
+            a = at[k : k + size]
+            p = s[c[a], 1 : top + 1] + np.arange(1, top + 1) * log[a][:, None]
+            p = np.cumsum(np.exp(p - p.max(axis=1, keepdims=True)), axis=1)
+            out[a] = 1 + (p < (u[a] * p[:, -1])[:, None]).sum(axis=1)
+        lo *= 2
+    return out
+
+
+def draw(c: np.ndarray, weight: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
+    """Numbers of tables given customers and the weight of a table."""
+    weight = np.maximum(weight, 1e-300)
+    far = np.flatnonzero(c > EXACT)
+    if not len(far):
+        return exact(c, np.log(weight), d, rng)
+    n, w = c[far].astype(float), weight[far]
+    lo, hi = np.full(len(far), -700.0), np.log(w)  # of log K: (1 - d) log K + d log(c + K) = log w
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        over = (1 - d) * mid + d * np.log(n + np.exp(mid)) > np.log(w)
+        lo, hi = np.where(over, lo, mid), np.where(over, mid, hi)
+    k = np.exp(hi)
+    tilt = weight.copy()
+    tilt[far] *= ((EXACT + k) / (n + k)) ** d
+    out = exact(np.minimum(c, EXACT), np.log(tilt), d, rng)
+    t, j = out[far].astype(float), np.full(len(far), float(EXACT))
+    while (going := np.flatnonzero(j < n)).size:
+        step = np.minimum(np.maximum(1, j[going] // 16), n[going] - j[going])
+        mid = j[going] + step / 2
+        odds = w[going] * ((mid + k[going]) / (n[going] + k[going])) ** d / np.maximum(mid - d * t[going], 1e-9)
+        t[going] += rng.binomial(step.astype(np.int64), odds / (1 + odds))
+        j[going] += step
+    out[far] = t.astype(np.int64)
+    return out
 
 
-def packed(d: Dishes) -> bytes:
-    return pack(d.hashes, d.word.astype(np.uint32), d.fine.astype(np.uint16), d.count.astype(np.uint64))
+def named_words(asks: list[tuple[int, bytes]], bucket: int, buckets: int):
+    """Counts by rank, and for every block its words' names (rank * buckets + bucket + 1; 0: unknown)."""
+    got = [unpack(b, 2) for _, b in asks]
+    hashes, at = np.unique(np.concatenate([np.cumsum(g[0].astype(np.uint64), dtype=np.uint64) for g in got]), return_inverse=True)
+    count = np.bincount(at, np.concatenate([g[1] for g in got]), len(hashes)).astype(np.int64)
+    order = np.lexsort((hashes, -count))
+    rank = np.empty(len(hashes), np.int64)
+    rank[order] = np.arange(len(hashes))
+    name, s, out = np.where(count > 0, rank * buckets + bucket + 1, 0), 0, []
+    for (block, _), g in zip(asks, got, strict=True):
+        out.append((block, name[at[s : s + len(g[0])]]))
+        s += len(g[0])
+    return np.sort(count[count > 0])[::-1], out
 
 
-def unpacked(blob: bytes) -> Dishes:
-    h, w, f, c = unpack(blob, "uuuu")
-    return Dishes(h, w.astype(np.int64), f, c)
+class Words:
+    """A word bucket's totals: tables by context, customers and tables in the empty context, all by rank."""
 
+    def __init__(self, count: np.ndarray, sums: list[tuple[int, bytes]]):
+        self.count, self.sums = count.astype(np.int64), [(p, unpack(b, 4)) for p, b in sums]
+        self.tables, self.c1 = np.zeros(len(count), np.int64), np.zeros(len(count), np.int64)
+        at = lambda x: np.cumsum(x.astype(np.uint64), dtype=np.uint64).astype(np.int64)
+        self.sums = [(p, at(u), n, at(w), k) for p, (u, n, w, k) in self.sums]
+        for _, u, n, w, k in self.sums:
+            self.tables[u] += n.astype(np.int64)  # a message has a name once
+            self.c1[w] += k.astype(np.int64)
 
-def swept(d: Dishes, bucket: int, history: list[np.ndarray], keep: bool = False):
-    """The seating after the sweeps of ``history``; the same draws whenever it is asked for. With ``keep``, of each one."""
-    for i, v in enumerate(history):
-        if keep:
-            yield d
-        d.sweep(Totals(v), np.random.default_rng([SEED, bucket, i]))
-    yield d
+    def replies(self, t1: np.ndarray):
+        for p, u, _, w, _ in self.sums:
+            yield p, pack(self.tables[u], self.c1[w], t1[w])
 
 
 def score(docs: DataFrame, held_out: Column, text: str = "text", doc_id: str = "doc_id", sweeps: int = SWEEPS, kept: int = KEPT) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: log10 probabilities of the texts under the
-    counts and the model of those that aren't held out."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity: log10 probabilities of the texts
+    under the counts and the model of those that aren't held out."""
     spark = docs.sparkSession
     folder = shared_dir(spark)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
     size = rows.agg(F.sum(F.length("text") + 2)).first()[0] or 0
-    blocks = max(1, math.ceil(size / BLOCK))
-    buckets = max(1, math.ceil(blocks / 2))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    word_buckets, pair_buckets = max(1, math.ceil(size / (4 * BLOCK))), max(1, math.ceil(size / (2 * BLOCK)))
     kind = rows.schema["doc_id"].dataType.simpleString()
-
+    blob = pa.binary()
+
+    # blocks: the tokens, and what word buckets are asked
+    reads = f"block long, word int, ask binary, ids array<{kind}>, held array<boolean>, tokens binary"
+
+    def read(batches):
+        at, k = TaskContext.get().partitionId(), 0
+        texts, ids, held, full = [], [], [], 0
+
+        def block():
+            b, h = Block.read(texts, word_buckets)
+            out = np.concatenate([x.to_numpy(zero_copy_only=False) for x in held])
+            count, name = b.counts(out), (at << 32) + k
+            asks = [(q, pack(steps(h[s:e]), count[s:e])) for q, s, e in runs(h % np.uint64(word_buckets))]
+            names, n = pa.concat_arrays(ids), len(asks)
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, blob), pa.ListArray.from_arrays([0, len(names)], names), pa.ListArray.from_arrays([0, len(out)], pa.array(out)), pa.array([b.packed()], blob)], names=["block", "word", "ask", "ids", "held", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * n, pa.int64()), pa.array([q for q, _ in asks], pa.int32()), pa.array([x for _, x in asks], blob), pa.nulls(n, pa.list_(names.type)), pa.nulls(n, pa.list_(pa.bool_())), pa.nulls(n, blob)], names=["block", "word", "ask", "ids", "held", "tokens"])
+
+        for b in batches:
+            start = 0
+            for i, t in enumerate(b.column(1)):
+                texts.append(t.as_py())
+                full += len(texts[-1]) + 64
+                if full >= BLOCK or i + 1 == b.num_rows:
+                    ids.append(b.column(0).slice(start, i + 1 - start))
+                    held.append(b.column(2).slice(start, i + 1 - start))
+                    start = i + 1
+                if full >= BLOCK:
+                    yield from block()
+                    texts, ids, held, full, k = [], [], [], 0, k + 1
+        if texts:
+            yield from block()
+
+    # two tables, so that the asks can go when they are answered
+    given = rows.mapInArrow(read, reads)
+    given.withColumn("kind", F.when(F.col("word").isNull(), "texts").otherwise("asks")).write.partitionBy("kind").parquet(f"{folder}/read")
+    def back(kind: str, *columns: str) -> DataFrame:
+        path = existing(spark, f"{folder}/read/kind={kind}")
+        return (spark.read.schema(given.schema).parquet(*path) if path else spark.createDataFrame([], given.schema)).select(*columns)
+
+    texts, asks = back("texts", "block", "ids", "held", "tokens"), back("asks", "block", "word", "ask")
+
+    # word buckets: counts and names
+    def name(t: pa.Table) -> pa.Table:
+        word, blocks, blobs = t.column("word")[0].as_py(), t.column("block").to_pylist(), t.column("ask").to_pylist()
+        count, told = named_words(list(zip(blocks, blobs, strict=True)), word, word_buckets)
+        return pa.table({"word": pa.array([word] * (1 + len(told)), pa.int32()), "block": pa.array([None, *[b for b, _ in told]], pa.int64()), "told": pa.array([pack(count), *[pack(x) for _, x in told]], blob), "n": pa.array([len(count)] + [0] * len(told), pa.int64()), "total": pa.array([int(count.sum())] + [0] * len(told), pa.int64())})
+
+    named = stored(asks.groupBy("word").applyInArrow(name, "word int, block long, told binary, n long, total long"), f"{folder}/named")
+    forget(spark)
+    drop_path(spark, f"{folder}/read/kind=asks")
+    sums = named.agg(F.sum("n"), F.sum("total")).first()
+    begins = texts.select(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
+    total, vocabulary = int(sums[1] or 0) - begins, int(sums[0] or 0) - (begins > 0)  # without the begin
+    counts = named.filter("block is null").select("word", F.col("told").alias("count"))
+    names = named.filter("block is not null").select("block", "word", "told")
+
+    def parts(t: pa.Table, column: str) -> tuple[list, list[bytes]]:
+        """Keys and blobs of the rows that have a blob, by key."""
+        got = sorted(zip(t.column("part").to_pylist(), t.column(column).to_pylist(), strict=True), key=lambda x: -1 if x[0] is None else x[0])
+        return [k for k, x in got if x is not None], [x for _, x in got if x is not None]
+
+    def padded(df: DataFrame, key: str, *columns: str) -> DataFrame:
+        """key, part and the named binary columns, null where ``df`` hasn't them."""
+        return df.select(key, *[(F.col(c) if c in df.columns else F.lit(None).cast("int" if c == "part" else "binary")).alias(c) for c in ("part", *columns)])
+
+    def opened(tokens: bytes, told: list[bytes]) -> tuple[Block, np.ndarray]:
+        b, names = Block.unpacked(tokens), np.concatenate([unpack(x, 1)[0].astype(np.int64) for x in told])
+        b.pairs(names, pair_buckets)
+        return b, names
+
+    # blocks: what pair buckets are asked
     def ask(t: pa.Table) -> pa.Table:
-        got = list(requests(t.column("text").to_pylist(), ~t.column("held_out").to_numpy(), buckets))
-        return pa.table({"bucket": pa.array([q for q, _ in got], pa.int32()), "block": pa.array([t.column("block")[0].as_py()] * len(got), pa.int32()), "blob": pa.array([b for _, b in got], pa.binary())})
-
-    asked = stored(rows.groupBy("block").applyInArrow(ask, "bucket int, block int, blob binary"), f"{folder}/asked")
+        at = t.column("tokens").is_valid().to_pylist().index(True)
+        b, _ = opened(t.column("tokens")[at].as_py(), parts(t, "told")[1])
+        got = list(asked_pairs(b, np.array(t.column("held")[at].as_py(), bool)))
+        return pa.table({"block": pa.array([t.column("block")[0].as_py()] * len(got), pa.int64()), "pair": pa.array([q for q, _ in got], pa.int32()), "ask": pa.array([x for _, x in got], blob)})
+
+    held = texts.select("block", "held", "tokens", F.lit(None).cast("int").alias("part"), F.lit(None).cast("binary").alias("told"))
+    told = names.select("block", F.lit(None).cast("array<boolean>").alias("held"), F.lit(None).cast("binary").alias("tokens"), F.col("word").alias("part"), "told")
+    pair_asks = stored(held.unionByName(told).groupBy("block").applyInArrow(ask, "block long, pair int, ask binary"), f"{folder}/pairs")
     forget(spark)
 
-    def merge(t: pa.Table) -> pa.Table:
-        d = merged(t.column("blob").to_pylist())
-        return pa.table({"bucket": t.column("bucket")[:1], "blob": pa.array([packed(d)], pa.binary()), "totals": pa.array([d.totals().tolist()], pa.list_(pa.float64()))})
+    # pair buckets: dishes with a table each
+    def sent(pair: int, state: list[bytes], messages, extra: tuple[int, int] = (0, 0)) -> pa.Table:
+        n = len(state) + len(messages)
+        return pa.table({"pair": pa.array([pair] * n, pa.int32()), "word": pa.array([None] * len(state) + [q for q, _ in messages], pa.int32()), "blob": pa.array(state + [x for _, x in messages], blob), "once": pa.array([extra[0]] + [0] * (n - 1), pa.int64())[:n], "twice": pa.array([extra[1]] + [0] * (n - 1), pa.int64())[:n]})
 
-    state = stored(asked.groupBy("bucket").applyInArrow(merge, "bucket int, blob binary, totals array<double>"), f"{folder}/dishes")
-    forget(spark)
+    def seat(t: pa.Table) -> pa.Table:
+        p = Pairs.merged(t.column("ask").to_pylist(), word_buckets)
+        return sent(t.column("pair")[0].as_py(), [p.packed()], list(p.sums(np.ones(len(p.c)))), (int((p.c == 1).sum()), int((p.c == 2).sum())))
 
-    def summed(df: DataFrame) -> np.ndarray:
-        got = df.select(F.posexplode("totals").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
-        v = np.zeros(2 * FINE + COARSE + 8)
-        for r in got:
-            v[r.i] = r.v
-        return v
-
-    history = [summed(state)]
-
-    def run(batches):
-        for whole in batches:
-            for bucket, blob in zip(whole.column(0).to_pylist(), whole.column(1).to_pylist(), strict=True):
-                *_, d = swept(unpacked(blob), bucket, history)
-                yield pa.RecordBatch.from_arrays([pa.array([d.totals().tolist()], pa.list_(pa.float64()))], names=["totals"])
-
-    state = state.select("bucket", "blob")
-    for _ in range(sweeps):
-        history.append(summed(state.repartition(buckets, "bucket").mapInArrow(run, "totals array<double>")))
-
-    def answer(t: pa.Table) -> pa.Table:
-        block, blob = t.column("block").to_pylist(), t.column("blob").to_pylist()
-        bucket = t.column("bucket")[0].as_py()
-        at = next(i for i, b in enumerate(block) if b is None)
-        d = unpacked(blob[at])
-        total = np.bincount(d.word, d.count, len(d.hashes)).astype(np.uint64)
-        asks = [(block[i], unpack(blob[i], "uuuu")) for i in range(len(block)) if i != at]
-        place = []
-        for _, (h, pairs, fine, _) in asks:
-            k = np.minimum(np.searchsorted(d.hashes, h), max(0, len(d.hashes) - 1))
-            known = d.hashes[k] == h if len(d.hashes) else np.zeros(len(h), bool)
-            place.append((np.where(known, k, -1), pairs, fine.astype(np.int64)))
-        word, fine = np.concatenate([np.repeat(w, pairs) for w, pairs, _ in place]), np.concatenate([f for _, _, f in place])
-        p = np.zeros(len(word))
-        for i, seated in enumerate(swept(d, bucket, history[:-1], True)):
-            if i > sweeps - kept:
-                p += seated.predict(Totals(history[i]), word, fine) / kept
-        log, out, s = np.log10(p).astype(np.float32), [], 0
-        for w, pairs, f in place:
-            out.append(pack(np.where(w < 0, 0, total[w] if len(total) else 0).astype(np.uint64), pairs, log[s : s + len(f)]))
-            s += len(f)
-        return pa.table({"block": pa.array([b for b, _ in asks], pa.int32()), "bucket": pa.array([bucket] * len(asks), pa.int32()), "blob": pa.array(out, pa.binary())})
-
-    both = asked.unionByName(state.withColumn("block", F.lit(None).cast("int")))
-    told = stored(both.groupBy("bucket").applyInArrow(answer, "block int, bucket int, blob binary"), f"{folder}/told")
+    flow = "pair int, word int, blob binary, once long, twice long"
+    seated = stored(pair_asks.groupBy("pair").applyInArrow(seat, flow), f"{folder}/seated")
     forget(spark)
-    drop_path(spark, f"{folder}/asked")
-    last = Totals(history[0])
-    n, v = int(last.n), int(last.words)
+    dishes, messages = seated.filter("word is null").select("pair", F.col("blob").alias("dishes")), seated.filter("word is not null")
+    few = seated.agg(F.sum("once"), F.sum("twice")).first()
+    d2 = discount(float(few[0] or 0), float(few[1] or 0))
+    v = {"d2": d2, "d1": 0.5, "theta2": 1.0, "theta1": 1.0, "t1": float(vocabulary), "c1": 0.0}
+    samples, tables = [], None
+
+    for i in range(sweeps + 1):
+        before = Sweep(v, vocabulary)
+
+        def totals(t: pa.Table) -> pa.Table:
+            word = t.column("word")[0].as_py()
+            count = next(x for x in t.column("count").to_pylist() if x is not None)
+            w = Words(unpack(count, 1)[0], list(zip(*parts(t, "blob"), strict=True)))
+            t1 = draw(w.c1, np.full(len(w.c1), (before.theta1 + before.d1 * before.tables) * before.base), before.d1, np.random.default_rng([SEED, 1, word, i]))
+            out = list(w.replies(t1))
+            row = [float(w.c1.sum()), float(t1.sum()), float((w.c1 == 1).sum()), float((w.c1 == 2).sum()), *likelihoods(d2, w.count, w.tables)]
+            n = len(out)
+            return pa.table({"word": pa.array([word] * (n + 1), pa.int32()), "pair": pa.array([None, *[p for p, _ in out]], pa.int32()), "blob": pa.array([pack(w.tables, w.c1, t1), *[x for _, x in out]], blob), "sums": pa.array([row, *[None] * n], pa.list_(pa.float64()))})
+
+        both = padded(messages.withColumn("part", F.col("pair")), "word", "blob", "count").unionByName(padded(counts, "word", "blob", "count"))
+        now = stored(both.groupBy("word").applyInArrow(totals, "word int, pair int, blob binary, sums array<double>"), f"{folder}/words{i}")
+        got = now.filter("pair is null").select(F.posexplode("sums").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
+        s = dict.fromkeys(range(4 + len(THETAS)), 0.0) | {r.i: r.x for r in got}
+        d1 = discount(s[2], s[3])
+        alone = likelihoods(d1, np.array([s[0]]), np.array([s[1]]))
+        v = {"d2": d2, "d1": d1, "c1": s[0], "t1": s[1], "theta2": THETAS[int(np.argmax([s[4 + k] for k in range(len(THETAS))]))], "theta1": THETAS[int(np.argmax(alone))]}
+        if i > sweeps - kept:
+            samples.append((Sweep(v, vocabulary), tables, now.filter("pair is null").select("word", F.col("blob").alias("words"))))
+        if i == sweeps:
+            break
+
+        after = Sweep(v, vocabulary)
+
+        def again(t: pa.Table) -> pa.Table:
+            pair = t.column("pair")[0].as_py()
+            first = lambda c: next((x for x in t.column(c).to_pylist() if x is not None), None)
+            p, old = Pairs.unpacked(first("dishes"), word_buckets), first("tables")
+            old = np.ones(len(p.c), np.int64) if old is None else unpack(old, 1)[0].astype(np.int64)
+            new = p.seated(old, list(zip(*parts(t, "blob"), strict=True)), after, np.random.default_rng([SEED, 2, pair, i])) if len(p.c) else old
+            return sent(pair, [pack(new)], list(p.sums(new)))
+
+        columns = ("blob", "dishes", "tables")
+        both = padded(now.filter("pair is not null").withColumn("part", F.col("word")), "pair", *columns).unionByName(padded(dishes, "pair", *columns))
+        if tables is not None:
+            both = both.unionByName(padded(tables, "pair", *columns))
+        swept = stored(both.groupBy("pair").applyInArrow(again, flow), f"{folder}/swept{i}")
+        forget(spark)
+        if i <= sweeps - kept:
+            drop_path(spark, f"{folder}/words{i}")
+            drop_path(spark, f"{folder}/swept{i - 1}")
+        tables, messages = swept.filter("word is null").select("pair", F.col("blob").alias("tables")), swept.filter("word is not null")
+
+    # answers to the blocks, by pairs and by words
+    many = len(samples)
+    shares = [f"s{k}" for k in range(many)]
+
+    def filled(df: DataFrame, key: str, columns: tuple[str, ...]) -> DataFrame:
+        return df.select(key, *[(F.col(c) if c in df.columns else F.lit(None).cast("long" if c == "block" else "binary")).alias(c) for c in columns])
+
+    def answer_pairs(t: pa.Table) -> pa.Table:
+        first = lambda c: next((x for x in t.column(c).to_pylist() if x is not None), None)
+        p = Pairs.unpacked(first("dishes"), word_buckets)
+        state = [np.ones(len(p.c), np.int64) if (x := first(c)) is None else unpack(x, 1)[0].astype(np.int64) for c in shares]
+        out = [(block, p.answer(x, state)) for block, x in zip(t.column("block").to_pylist(), t.column("blob").to_pylist(), strict=True) if x is not None]
+        return pa.table({"block": pa.array([b for b, _ in out], pa.int64()), "part": pa.array([t.column("pair")[0].as_py()] * len(out), pa.int32()), "pairs": pa.array([x for _, x in out], blob)})
+
+    columns = ("block", "blob", "dishes", *shares)
+    both = filled(pair_asks.withColumnRenamed("ask", "blob"), "pair", columns).unionByName(filled(dishes, "pair", columns))
+    for c, (_, tables, _) in zip(shares, samples, strict=True):
+        if tables is not None:
+            both = both.unionByName(filled(tables.withColumnRenamed("tables", c), "pair", columns))
+    by_pair = stored(both.groupBy("pair").applyInArrow(answer_pairs, "block long, part int, pairs binary"), f"{folder}/by_pair")
+    forget(spark)
+    for used in ("pairs", "seated", *[f"swept{i}" for i in range(sweeps)]):
+        drop_path(spark, f"{folder}/{used}")
+
+    def answer_words(t: pa.Table) -> pa.Table:
+        first = lambda c: next((x for x in t.column(c).to_pylist() if x is not None), None)
+        count = unpack(first("count"), 1)[0].astype(np.int64)
+        state = [count, *chain.from_iterable([a.astype(np.int64) for a in unpack(first(c), 3)] for c in shares)]
+        state = [np.append(a, 0) for a in state]
+        blocks, out = t.column("block").to_pylist(), []
+        for block, told in zip(blocks, t.column("blob").to_pylist(), strict=True):
+            if told is not None:
+                x = unpack(told, 1)[0].astype(np.int64)
+                rank = np.where(x > 0, (x - 1) // word_buckets, len(count))
+                out.append((block, pack(*[a[rank] for a in state])))
+        return pa.table({"block": pa.array([b for b, _ in out], pa.int64()), "part": pa.array([t.column("word")[0].as_py()] * len(out), pa.int32()), "words": pa.array([x for _, x in out], blob)})
+
+    columns = ("block", "blob", "count", *shares)
+    both = filled(names.withColumnRenamed("told", "blob"), "word", columns).unionByName(filled(counts, "word", columns))
+    for c, (_, _, words) in zip(shares, samples, strict=True):
+        both = both.unionByName(filled(words.withColumnRenamed("words", c), "word", columns))
+    by_word = stored(both.groupBy("word").applyInArrow(answer_words, "block long, part int, words binary"), f"{folder}/by_word")
+    forget(spark)
+
+    models = [m for m, _, _ in samples]
 
     def add(t: pa.Table) -> pa.Table:
-        answers = t.filter(pa.compute.is_valid(t.column("bucket"))).sort_by("bucket")
-        t = t.filter(pa.compute.is_null(t.column("bucket")))
-        b = Block(t.column("text").to_pylist(), buckets)
-        got = [unpack(x, "uuf") for x in answers.column("blob").to_pylist()]
-        total, log = np.concatenate([g[0] for g in got]).astype(np.float64), np.concatenate([g[2] for g in got]).astype(np.float64)
-        sums = lambda x: np.add.reduceat(x, b.starts)
-        base = np.log10((total + 0.1) / (n + 0.1 * (v + 1)))
+        at = t.column("tokens").is_valid().to_pylist().index(True)
+        b, known = opened(t.column("tokens")[at].as_py(), parts(t, "told")[1])
+        words = [np.concatenate(x).astype(np.float64) for x in zip(*[unpack(x, 1 + 3 * many) for x in parts(t, "words")[1]], strict=True)]
+        got = [unpack(x, 1 + many) for x in parts(t, "pairs")[1]]
+        count, p = words[0], np.zeros(len(b.context))
+        told = [np.zeros(len(b.context)) for _ in range(1 + many)]
+        for k, x in enumerate(told):
+            if got:
+                x[b.named] = np.concatenate([g[k] for g in got])
+        for k, m in enumerate(models):
+            tables, c1, t1 = words[1 + 3 * k : 4 + 3 * k]
+            p += m.predict(told[0], told[1 + k], count[b.context], tables[b.context], m.shared(c1, t1)[b.word]) / many
+        starts = np.cumsum(b.lengths) - b.lengths
+        summed = lambda x: np.add.reduceat(x, starts)
+        base = np.log10((count + 0.1) / (total + 0.1 * (vocabulary + 1)))
+        logs = summed(np.log10(p)[b.where])
         return pa.table({
-            "doc_id": t.column("doc_id"), "held_out": t.column("held_out"), "n_tokens": b.lengths, "n_known": sums((total > 0)[b.tokens].astype(np.int64)), "train_tokens": np.full(len(t), n),
-            "base_score": sums(base[b.tokens]), "score": sums(log[b.where]),
+            "doc_id": t.column("ids").combine_chunks()[at].values, "held_out": t.column("held").combine_chunks()[at].values, "n_tokens": b.lengths, "n_known": summed((count > 0)[b.tokens].astype(np.int64)),
+            "train_tokens": np.full(len(starts), total), "base_score": summed(base[b.tokens]), "score": logs, "perplexity": 10.0 ** (-logs / b.lengths),
         })
 
-    none = lambda kind: F.lit(None).cast(kind)
-    texts = rows.select("block", "doc_id", "text", "held_out", none("int").alias("bucket"), none("binary").alias("blob"))
-    told = told.select("block", none(kind).alias("doc_id"), none("binary").alias("text"), none("boolean").alias("held_out"), "bucket", "blob")
-    return texts.unionByName(told).groupBy("block").applyInArrow(add, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    columns = ("tokens", "told", "words", "pairs")
+    some = padded(names.withColumn("part", F.col("word")), "block", *columns).unionByName(padded(by_word, "block", *columns)).unionByName(padded(by_pair, "block", *columns))
+    some = some.withColumn("ids", F.lit(None).cast(f"array<{kind}>")).withColumn("held", F.lit(None).cast("array<boolean>"))
+    own = texts.select("block", "tokens", "ids", "held", F.lit(None).cast("int").alias("part"), *[F.lit(None).cast("binary").alias(c) for c in columns[1:]])
+    return own.unionByName(some).groupBy("block").applyInArrow(add, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
