@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
-    if not base:  # tests and single machines only
-        base = tempfile.mkdtemp(prefix="forge-")
-        spark.sparkContext.setCheckpointDir(base)
+    if not base:
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/forge-{uuid.uuid4().hex}"
 
 
@@ -67,6 +67,19 @@ def held_out(doc_id: Column, folds: int) -> Column:
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds) == 0
 
 
+def portions(batch: pa.RecordBatch, column: int, size: int = 4_000_000, rows: int = 512):
+    """The batch in slices of at most ``rows`` rows and about ``size`` bytes of a text column; a longer text is a slice of its own."""
+    n = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start = full = 0
+    for i, x in enumerate(n.tolist()):
+        if i > start and (full + x > size or i - start >= rows):
+            yield batch.slice(start, i - start)
+            start, full = i, 0
+        full += x
+    if batch.num_rows:
+        yield batch.slice(start)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): one row (id, component) per vertex that has an edge to
     another vertex, with the smallest reachable id.

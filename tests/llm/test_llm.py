@@ -144,18 +144,30 @@ def test_simhash(docs, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
-def test_simhash_links(spark):
+@pytest.mark.parametrize("radius, tile", [(4, 16), (4, 100_000), (0, 16), (1, 16), (3, 16), (5, 16)])
+def test_simhash_links(spark, radius, tile):
     rng = random.Random(5)
     base = [rng.getrandbits(64) for _ in range(60)]
     values = {b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 6))) for b in base for _ in range(30)}
     values = sorted(v - 2**64 if v >= 2**63 else v for v in values)
     fps = spark.createDataFrame([(v,) for v in values], "fp long")
-    got = dict(components(simhash.links(fps, 4, tile=16)).collect())
+    got = dict(components(simhash.links(fps, radius, tile=tile)).collect())
     u = np.array(values, np.int64).view(np.uint64)
-    at = brute_components(len(values), [(i, j) for i in range(len(u)) for j in np.flatnonzero(np.bitwise_count(u[i] ^ u) <= 4).tolist()])
+    at = brute_components(len(values), [(i, j) for i in range(len(u)) for j in np.flatnonzero(np.bitwise_count(u[i] ^ u) <= radius).tolist()])
     assert [got.get(v, v) for v in values] == [values[a] for a in at]
 
 
+def test_simhash_long_text():
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choices("abcdef", k=rng.randint(1, 9))) for _ in range(400_000))
+    whole = [text[:k].encode() for k in (5, 3_000, len(text))]
+    old, simhash.PART = simhash.PART, 5_000
+    parts = simhash.fingerprints_of(whole, 4).tolist()
+    simhash.PART = 1 << 30
+    assert parts == simhash.fingerprints_of(whole, 4).tolist()
+    simhash.PART = old
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
@@ -181,7 +193,21 @@ def test_egojoin(spark):
 
 def test_egojoin_skips_distant_runs():
     lo = np.array([[0.0], [1.0], [5.0], [5.1]])
-    assert set(egojoin.join_runs(lo, lo + 0.1, 0.3)) == {(0, 0), (1, 1), (2, 2), (2, 3), (3, 3)}
+    assert [egojoin.partners(i, lo, lo + 0.1, 0.3) for i in range(4)] == [[0], [1], [2, 3], [3]]
+
+
+def test_egojoin_intervals(spark, monkeypatch):
+    """Many intervals, of which distant ones are skipped, give what brute force gives."""
+    monkeypatch.setattr(egojoin, "LEAST", 16)
+    monkeypatch.setattr(egojoin, "INTERVAL_BYTES", 16 * 8 * 6)
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(60, 6))
+    x = np.vstack([base + rng.normal(size=base.shape) * s for s in (0, 0.1, 0.2)])
+    got = {r.vec_id: r for r in egojoin.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = u @ u.T >= 0.95
+    at = brute_components(len(x), np.argwhere(s).tolist())
+    assert all((got[i].n_links, got[i].component_id) == (s[i].sum() - 1, at[i]) for i in range(len(x)))
 
 
 def test_mixing(docs, none, spark):
