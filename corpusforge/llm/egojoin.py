@@ -1,17 +1,22 @@
 """Embedding near-duplicates by an epsilon grid order join.
 
 Vectors are scaled to length 1, where a cosine of at least ``cosine`` is a distance of at most epsilon, and projected on the
-leading principal dimensions. They are sorted by their grid cells there (cells of width epsilon, compared dimension by
-dimension) into one sequence, cut into intervals of ``INTERVAL`` vectors. Two intervals, or runs of them, are joined
-recursively: a pair of runs whose bounding boxes are further apart than epsilon is skipped, since projection shortens
-distances; others are halved. Runs of intervals are halved on the driver, which holds a box per interval; a pair of
-intervals that remains is one group, in which halving goes on down to blocks, which are compared by a matrix product.
-Products within 1e-4 of the threshold are decided again in double precision.
-
-Equal vectors are one class, so copies aren't compared with each other; a group returns numbers of links and a spanning
-forest instead of pairs. Nothing is capped. Vectors that are null, zero, or hold null or non-finite components link
-with nothing; vectors of different lengths don't link. Repeated ids keep their rows, each counted as a vector; their
-component is found as one vertex. An empty table gives an empty table. Columns other than id and vector are ignored.
+``LEADING`` principal dimensions. They are sorted by their grid cells there (cells of width epsilon, compared dimension by
+dimension) into one sequence, cut into intervals. Two intervals, or runs of them, are joined recursively: a pair of runs
+whose bounding boxes are further apart than epsilon is skipped, since projection shortens distances; others are halved.
+A pair of intervals that remains is one group, in which halving goes on down to blocks, which are compared by a matrix
+product. Products within 1e-4 of the threshold are decided again in double precision.
+
+An interval has a quarter of the vectors, but at least ``LEAST`` and at most ``INTERVAL_BYTES`` of them, so that a vector
+goes to as few groups as memory allows. A box takes 256 bytes for the 16 MB of an interval; boxes are what the driver
+sends to the tasks that look for each interval's partners, and the pairs of intervals stay in a table.
+
+Equal vectors are one class (by two 64-bit hashes), so copies aren't compared with each other; a group returns numbers of
+links and a spanning forest instead of pairs. Nothing is capped. Vectors that are null, zero, or hold null or non-finite
+components link with nothing; vectors of different lengths don't link. Ties do not occur: every pair is decided by its
+cosine alone. Repeated ids keep their rows, each counted as a vector; their component is found as one vertex. A vector
+without an id has no links. Very long vectors make shorter intervals. An empty table gives an empty table. Columns
+other than id and vector are ignored.
 """
 
 from __future__ import annotations
@@ -25,12 +30,11 @@ from pyspark.sql import functions as F
 
 from corpusforge.llm.common import components, forest, shared_dir, stored, width
 
-LEADING = 4
-INTERVAL = 8192
+LEADING = 16
+LEAST = 1024
+INTERVAL_BYTES = 16_000_000
 BLOCK = 1024
 NEAR = 1e-4
-#: Up to so many pairs of intervals (24 bytes each) their table is broadcast; beyond it is joined by shuffling.
-FEW_PAIRS = 50_000
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -67,25 +71,17 @@ def apart(lo: np.ndarray, hi: np.ndarray, lo2: np.ndarray, hi2: np.ndarray) -> f
     return float(np.sqrt((np.maximum(0, np.maximum(lo - hi2, lo2 - hi)) ** 2).sum()))
 
 
-def join_runs(lo: np.ndarray, hi: np.ndarray, epsilon: float) -> list[tuple[int, int]]:
-    """The pairs of intervals that may hold vectors within epsilon, by halving runs of the sequence."""
-    out: list[tuple[int, int]] = []
-    todo = [((0, len(lo)), (0, len(lo)))] if len(lo) else []
+def partners(i: int, lo: np.ndarray, hi: np.ndarray, epsilon: float) -> list[int]:
+    """The intervals from ``i`` on that may hold vectors within epsilon of its own, by halving runs of the sequence."""
+    out, todo = [], [(i, len(lo))]
     while todo:
-        (a, b), (c, d) = todo.pop()
-        if apart(lo[a:b].min(axis=0), hi[a:b].max(axis=0), lo[c:d].min(axis=0), hi[c:d].max(axis=0)) > epsilon + 1e-9:
+        a, b = todo.pop()
+        if apart(lo[i], hi[i], lo[a:b].min(axis=0), hi[a:b].max(axis=0)) > epsilon + 1e-9:
             continue
-        if b - a == 1 and d - c == 1:
-            out.append((a, c))
-        elif (a, b) == (c, d):
-            m = (a + b) // 2
-            todo += [((a, m), (a, m)), ((a, m), (m, b)), ((m, b), (m, b))]
-        elif b - a >= d - c:
-            m = (a + b) // 2
-            todo += [((a, m), (c, d)), ((m, b), (c, d))]
+        if b - a == 1:
+            out.append(a)
         else:
-            m = (c + d) // 2
-            todo += [((a, b), (c, m)), ((a, b), (m, d))]
+            todo += [((a + b) // 2, b), (a, (a + b) // 2)]
     return out
 
 
@@ -150,11 +146,21 @@ def links(classes: DataFrame, dim: int, cosine: float, folder: str) -> DataFrame
     if not total:
         return spark.createDataFrame([], "rep long, links long, root long")
     at = F.get(F.array(*[F.lit(b).cast("long") for b in begin]), F.shiftright("at", 33).cast("int")) + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    given = given.withColumn("at", at).withColumn("interval", F.floor(F.col("at") / INTERVAL).cast("int"))
-    boxes = given.groupBy("interval").agg(*[F.min(p).alias(f"lo{p}") for p in places], *[F.max(p).alias(f"hi{p}") for p in places]).orderBy("interval").collect()
-    pairs = join_runs(np.array([[r[f"lo{p}"] for p in places] for r in boxes]), np.array([[r[f"hi{p}"] for p in places] for r in boxes]), epsilon)
-    table = spark.createDataFrame([(x, i, j) for i, j in pairs for x in {i, j}], "interval int, i int, j int")
-    rows = given.select("interval", "at", "rep", "n", "vec").join(F.broadcast(table) if len(pairs) <= FEW_PAIRS else table, "interval")
+    interval = max(LEAST, min(math.ceil(total / 4), INTERVAL_BYTES // (8 * dim)))
+    given = given.withColumn("at", at).withColumn("interval", F.floor(F.col("at") / interval).cast("int"))
+    boxes = given.groupBy("interval").agg(F.array(*map(F.min, places)).alias("lo"), F.array(*map(F.max, places)).alias("hi")).orderBy("interval").collect()
+    held = spark.sparkContext.broadcast((np.array([r.lo for r in boxes]), np.array([r.hi for r in boxes])))
+
+    def meet(batches):
+        lo, hi = held.value
+        for b in batches:
+            for i in b.column(0).to_pylist():
+                j = partners(i, lo, hi, epsilon)
+                yield pa.RecordBatch.from_pydict({"i": [i] * len(j), "j": j}, schema=pa.schema([("i", pa.int32()), ("j", pa.int32())]))
+
+    pairs = spark.range(len(boxes)).mapInArrow(meet, "i int, j int")
+    table = pairs.select(F.explode(F.array_distinct(F.array("i", "j"))).alias("interval"), "i", "j")
+    rows = given.select("interval", "at", "rep", "n", "vec").join(stored(table, f"{folder}/pairs"), "interval")
 
     def compare(group: pa.Table) -> pa.Table:
         g = group.combine_chunks().sort_by("at")
@@ -188,8 +194,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, vector: str = "emb
     number = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))
     fine = F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & F.forall("vec", number) & F.exists("vec", lambda v: v != 0)
     rows = rows.withColumn("fine", F.coalesce(fine, F.lit(False)))
-    good = rows.filter("fine").withColumn("key", F.xxhash64("vec"))
-    classes = stored(good.groupBy("key", "vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")).withColumn("dim", F.size("vec")), f"{folder}/classes")
+    good = rows.filter("fine").withColumn("key", F.struct(F.xxhash64("vec").alias("a"), F.xxhash64(F.lit(1), "vec").alias("b")))
+    classes = good.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("vec").alias("vec")).withColumn("dim", F.size("vec"))
+    classes = stored(classes, f"{folder}/classes")
     dims = sorted(r.dim for r in classes.select("dim").distinct().collect())
     found = None
     for d in dims:
@@ -200,8 +207,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, vector: str = "emb
     found = stored(found, f"{folder}/found")
     comp = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     other = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    named = classes.select("key", "vec", "rep", "n").join(other, "rep", "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
-    named = named.select("key", "vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = good.join(named, ["key", "vec"]).select("vec_id", "n_links", "component_id")
+    named = classes.select("key", "rep", "n").join(other, "rep", "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
+    named = named.select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    out = good.drop("vec").join(named, "key").select("vec_id", "n_links", "component_id")
     rest = rows.filter("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
