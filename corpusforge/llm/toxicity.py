@@ -3,19 +3,22 @@
 The kernel of two words sums, over all subsequences of three characters within a span of five, the product of their
 weights (``DECAY`` to the power of the span), divided by the words' norms. So an insult with inserted characters, gaps
 or another ending keeps most of its similarity. Landmarks are words of the sample whose subsequences tell toxic texts
-from others and that aren't alike,
-and the clean words most like those as counter-examples. A word that is like a telling landmark, above
-``FLOOR``, is described by its similarities to all landmarks, mapped by the inverse root of the landmarks' kernel matrix; a linear machine with squared hinge loss
-is trained on the sentences of labelled texts, whose greatest word is their witness, in two rounds: witnesses of toxic texts
-on the wrong side after the first are left out of the second. Landmarks with inserted characters, doubled letters and separators are examples too. A text's score is the logistic calibration of its highest sentence.
-
-Training uses at most ``SAMPLE`` labelled texts of each class, those with the least hash of the id (a documented bound);
+from others and that aren't alike, and the clean words most like those as counter-examples. The kernel of a sentence with
+a landmark is the greatest of its words' kernels, where only words count that are like a telling landmark, above
+``FLOOR``; a sentence is described by these, mapped by the inverse root of the landmarks' kernel matrix. A linear machine with squared
+hinge loss is trained on the sentences of labelled texts, in rounds: all sentences of clean texts are negative; of a toxic
+text's, those that the machine of the round before finds positive, or its highest one. Sentences of a single landmark
+with inserted characters, doubled letters and separators are positive examples too. A text's score is the logistic calibration of its
+highest sentence. A sentence of more than ``SPAN`` words is read in parts of as many.
+
+Training uses at most ``SAMPLE`` labelled texts of each class, those with the least hash of the id (a documented bound), and of these
+in order at most ``SAMPLE_BYTES`` in all, a text that passes the bound by itself excepted;
 scoring reads every word of every text. Similarities of distinct words are remembered, up to ``CACHE`` per worker; a
 bound from the landmarks' greatest weights dismisses only words that no landmark can reach.
 
-Null and empty texts have the score of a text without any similarity. Labels of null and texts without label aren't
-learned from. Without examples of both classes the score is the toxic share of what there is (0.0 for nothing). Equal
-texts have equal scores. An empty table gives an empty table.
+Null and empty texts have the score of a text without any similarity. Very long texts are slices of their own and read whole. Labels of
+null and texts without label aren't learned from; of two labels of an id the toxic one holds. Without examples of both classes
+the score is the toxic share of what there is (0.0 for nothing). Equal texts have equal scores. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusforge.llm.common import portions, stored
+
 DECAY, FLOOR = 0.7, 0.4
 PAIRS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))  # places of the second and third character after the first
 LANDMARKS = 96
@@ -39,6 +44,9 @@ FAMILIES = 16
 PART = 0.6  # share of a rare word's subsequences that must tell
 TOLD, MORE = 12.0, 6.0  # likelihood ratio and ratio of rates from which a subsequence tells toxic texts
 SAMPLE = 1_500
+SAMPLE_BYTES = 64_000_000
+SPAN = 32
+ROUNDS = 3
 CACHE = 1_000_000
 LONG = 64  # a longer word is read in overlapping windows of this length
 WINDOW, STEP = 16, 4  # windows over every word longer than that, so that up to 13 letters stand in one whole
@@ -109,7 +117,7 @@ class Model:
         self._prepare()
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("reach", "at", "table", "value", "known", "rows")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("reach", "at", "table", "known", "rows")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -138,7 +146,6 @@ class Model:
         self.reach = np.zeros((ALPHABET**3, max(1, len(heads))), np.float32)
         for g in range(len(heads)):
             self.reach[every, g] = self.table[1:, [i for i, x in enumerate(family) if x == g]].max(axis=1)
-        self.value: dict[str, float] = {}
         self.known: dict[str, int] = {}
         self.rows: list[np.ndarray] = []
 
@@ -183,42 +190,42 @@ class Model:
                     out[i] = v
         return out
 
-    def words(self, text: str) -> list[str]:
+    def sentences(self, text: str) -> list[list[str]]:
+        """The words of sentences, long ones in parts; spaced-out words stand alone, for marks inside may end sentences."""
         t = text.lower()
-        return t.split() + ["".join(filter(str.isalnum, m)) for m in SPACED.findall(t)]
-
-    def sentences(self, text: str) -> list[list[int]]:
-        """The rows of the words of sentences that have any."""
-        out = []
-        for s in SENTENCE.split(text.lower()):
-            at = [k for w in set(self.words(s)) if (k := self.known.get(w, -1)) >= 0]
-            if at:
-                out.append(at)
+        out = [["".join(filter(str.isalnum, m))] for m in SPACED.findall(t)]
+        for s in SENTENCE.split(t):
+            w = s.split()
+            out += [w[k : k + SPAN] for k in range(0, len(w), SPAN)]
         return out
 
-    def see(self, texts: list[str]) -> list[list[list[int]]]:
-        """For training: the texts' sentences as rows of similarities, all of which are kept."""
-        new = list({w for t in texts for s in SENTENCE.split(t.lower()) for w in self.words(s)}.difference(self.known))
+    def see(self, texts: list[str]) -> list[np.ndarray]:
+        """For every text the features of its sentences that have a word like a telling landmark."""
+        split = [{*(t := x.lower()).split(), *["".join(filter(str.isalnum, m)) for m in SPACED.findall(t)]} for x in texts]
+        everything = set().union(*split)
+        new = everything.difference(self.known)
+        if len(self.known) + len(new) > CACHE:
+            self.known.clear()
+            self.rows.clear()
+            new = everything
+        new = sorted(new)
         self.known.update(dict.fromkeys(new, -1))
         for i, v in self.likenesses(new).items():
             self.known[new[i]] = len(self.rows)
             self.rows.append(v)
-        return [self.sentences(t) for t in texts]
+        get, out = self.known.__getitem__, []
+        for text, words in zip(texts, split, strict=True):
+            found = []
+            if any(get(w) >= 0 for w in words):
+                for s in self.sentences(text):
+                    if at := [k for w in s if (k := get(w)) >= 0]:
+                        found.append(self.rows[at[0]] if len(at) == 1 else np.max([self.rows[k] for k in at], axis=0))
+            out.append(np.array(found, np.float32).reshape(-1, len(self.landmarks)))
+        return out
 
     def decide(self, texts: list[str]) -> np.ndarray:
-        """The highest word; the least value for texts without a word like a telling landmark."""
-        split = [set(self.words(t)) for t in texts]
-        everything = set().union(*split)
-        new = everything.difference(self.value)
-        if len(self.value) + len(new) > CACHE:
-            self.value.clear()
-            new = everything
-        new = list(new)
-        self.value.update(dict.fromkeys(new, self.least))
-        for i, v in self.likenesses(new).items():
-            self.value[new[i]] = max(self.least, float(v @ self.weights) + self.bias)
-        get = self.value.__getitem__
-        return np.array([max(map(get, x), default=self.least) for x in split])
+        """The highest sentence; the least value for texts without a word like a telling landmark."""
+        return np.array([max(self.least, float((x @ self.weights).max()) + self.bias) if len(x) else self.least for x in self.see(texts)])
 
     def score(self, texts: list[str]) -> np.ndarray:
         if self.weights is None:
@@ -350,30 +357,29 @@ def fit(texts: list[str], toxic: list[bool]) -> Model:
     k = m.similar(m.landmarks).astype(float)
     val, vec = np.linalg.eigh((k + k.T) / 2)
     root = vec @ np.diag(1 / np.sqrt(np.maximum(val, 0.05))) @ vec.T
-    groups = m.see(texts)
-    # sentences by the words that may be their witness: how many toxic and clean ones have each
-    count = np.zeros((2, len(m.rows)))
-    for g, label in zip(groups, y.tolist(), strict=True):
-        for s in g:
-            count[int(label)][s] += 1
-    # the sample's telling words as they are written to be overlooked
-    bent = [s for g in m.see([v for w in m.landmarks[: m.telling] for v in variants(w)]) for s in g]
-    x = np.array(m.rows).reshape(-1, len(m.landmarks)) @ root
-    also = np.zeros(len(x), bool)
-    also[[k for s in bent for k in s]] = True
-    count = np.pad(count, ((0, 0), (0, len(x) - count.shape[1])))
-    also &= count[0] == 0
-    positive = (count[1] > 0) | also
-    for _ in range(2):
-        at = np.concatenate([np.flatnonzero(positive), np.flatnonzero(count[0])])
-        t = np.concatenate([np.ones(positive.sum()), -np.ones((count[0] > 0).sum())])
-        weight = np.concatenate([np.sqrt(count[1][positive] + also[positive]), np.sqrt(count[0][count[0] > 0])])
-        if not len(t):
-            return m
+    seen = m.see(texts)
+    # the sample's telling words as they are written to be overlooked, where no clean text has them
+    clean = {w for x, label in zip(words, y.tolist(), strict=True) if not label for w in x}
+    bent = m.see([v for w in m.landmarks[: m.telling] for v in variants(w) if v not in clean])
+    x = np.concatenate([*seen, *bent]).astype(float) @ root
+    of = np.repeat(np.arange(len(seen)), [len(g) for g in seen])
+    toxic_row = np.concatenate([y[of], np.ones(len(x) - len(of), bool)])
+    own = np.arange(len(x)) < len(of)
+    if not toxic_row.any():
+        return m
+    positive = toxic_row.copy()
+    for _ in range(ROUNDS):
+        at = np.flatnonzero(positive | ~toxic_row)
+        t = np.where(positive[at], 1.0, -1.0)
+        weight = np.ones(len(at))
         for side in (t > 0, t < 0):
-            weight[side] *= 0.5 * len(t) / max(1e-9, weight[side].sum())
+            weight[side] *= 0.5 * len(t) / max(1, side.sum())
         w, b = svm(x[at], t, weight, 10.0)
-        positive = ((count[1] > 0) & (x @ w + b > 0)) | also
+        f = x @ w + b
+        best = np.full(len(seen), -np.inf)
+        np.maximum.at(best, of, f[: len(of)])
+        positive = toxic_row & ((f > 0) | ~own)
+        positive[: len(of)] |= toxic_row[: len(of)] & (f[: len(of)] == best[of])
     m.weights, m.bias = root @ w, b
     m.least = min(-1.0, b)
     m.slope, m.shift = platt(m.decide(texts), y)
@@ -388,9 +394,19 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, text:
     ids = ids.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = (F.xxhash64("doc_id"), "doc_id")
     some = ids.filter("toxic = 1").orderBy(*order).limit(sample).unionByName(ids.filter("toxic = 0").orderBy(*order).limit(sample))
-    # at most 2 * sample ids of 12 bytes
+    # at most 2 * sample ids of 12 bytes; of rows with one id the least text
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(some), "doc_id")
-    got = rows.orderBy(*order, "text").limit(2 * sample).collect()
+    rows = stored(rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")))
+    ids, full = [], 0
+    for r in rows.select("doc_id", F.octet_length("text").alias("n")).orderBy(*order).collect():
+        full += r.n
+        if ids and full > SAMPLE_BYTES:
+            break
+        ids.append(r.doc_id)
+    if not ids:
+        return fit([], [])
+    last = rows.filter(F.struct(*order) <= F.struct(F.xxhash64(F.lit(ids[-1]).cast(rows.schema["doc_id"].dataType)), F.lit(ids[-1]).cast(rows.schema["doc_id"].dataType)))
+    got = last.orderBy(*order).collect()
     return fit([r.text for r in got], [r.toxic == 1 for r in got])
 
 
@@ -403,8 +419,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches):
         m = held.value
         for whole in batches:
-            for k in range(0, whole.num_rows, 512):
-                b = whole.slice(k, 512)
+            for b in portions(whole, whole.num_columns - 1):
                 s = m.score(b.column(b.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s, pa.float64())], names=[*keep, "score"])
 
