@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -75,7 +76,7 @@ def test_idfile(spark, docs, none):
     tok = Tokenizer.from_file(tokenizer(WORD_BPE))
     manifest = idfile.write(docs, tokenizer(WORD_BPE), 2)
     got = idfile.read(manifest).collect()
-    rows = sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    rows = sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0))  # the only equal ids have equal texts
     want, start = [], 0
     for i, t, _ in rows:
         ids = [*tok.encode(t or "", add_special_tokens=False).ids, 2]
@@ -89,6 +90,21 @@ def test_idfile(spark, docs, none):
     assert idfile.read(idfile.write(none, tokenizer(WORD_BPE), 2)).count() == 0
 
 
+def test_idfile_long(spark, monkeypatch):
+    """Parts, shards and slices of long texts, and rows of one id over several shards."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(idfile, "PART", 1_000)
+    monkeypatch.setattr(idfile, "SHARD", 50_000)
+    tok = Tokenizer.from_file(tokenizer(WORD_BPE))
+    texts = [(7 if i < 60 else i, f"{i} some words\tin  line {i}\n" * 100) for i in range(90)]
+    manifest = idfile.write(spark.createDataFrame(texts, "doc_id long, text string"), tokenizer(WORD_BPE), 2)
+    got = idfile.read(manifest).orderBy("start").collect()
+    ids = sorted((i, [*tok.encode(t, add_special_tokens=False).ids, 2]) for i, t in texts)
+    assert manifest.count() > 1 and sorted((r.doc_id, r.ids) for r in got) == ids and [r.doc_id for r in got] == sorted(i for i, _ in texts)
+    assert [r.start for r in got] == np.cumsum([0, *[len(r.ids) for r in got]])[:-1].tolist()
+
+
 def test_mpeg(docs, none):
     for r in mpeg.read(mpeg.store(docs)).join(docs.select("doc_id", "text").distinct(), "doc_id").collect():
         data = (r.text or "").encode()
@@ -269,6 +285,69 @@ def test_personal_discovers(spark):
     assert got[0].masked == "please call me soon on number [PHONE] thanks"
 
 
+def test_personal_bootstraps(spark):
+    """Found values induce patterns that find others, and contexts are whole words however long."""
+    long = "q" * 300
+    texts = [f"{long} reach number +1 (555) 010-{1000 + i} now" for i in range(30)]
+    texts += [f"{long} reach number desk-{10 + i}-x now" for i in range(6)] + [f"the badge desk-{10 + i}-x opens" for i in range(6) for _ in range(4)]
+    texts += ["the badge hall-99-z opens", "q other number seat-1234 later", "the badge is old 2024-01-02"]
+    rows = personal.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans] for r in rows.collect()}
+    assert all(got[30 + i] == [f"desk-{10 + i}-x"] for i in range(6)) and all(got[36 + k] == [f"desk-{10 + k // 4}-x"] for k in range(24))
+    assert got[60] == ["hall-99-z"] and got[61] == [] and got[62] == []
+
+
+def test_personal_recall(spark):
+    """Planted identifiers of a kind that no rule knows, in contexts of known ones and elsewhere."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 8)))
+    known = [f"{word()} {word()} contact mail u{i}@host{i % 7}.example.org please {word()}" for i in range(300)]
+    planted = [f"{word()} contact mail u{i}@intranet please {word()} {word()}" for i in range(50)]
+    clean = [f"{word()} version {i}.{i % 9}.beta of {word()} in 20{i:02d}-11" for i in range(99)]
+    texts = known + planted + clean
+    got = {r.doc_id: r for r in personal.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert sum([texts[i][s.start : s.end] for s in got[i].spans] == [f"u{i - 300}@intranet"] for i in range(300, 350)) >= 45
+    assert all(not got[i].spans for i in range(350, len(texts)))
+
+
+def test_personal_long(spark):
+    """A text of 5 MB with half a million numbers and many spans, in time."""
+    text = "call 555-1234-5 at 10.0.0.1 or +1 555 010 9999, " * 100_000
+    rows = spark.createDataFrame([(1, text), (2, "x" * 5_000_000), (3, "1 " * 2_000_000), (4, "@" * 2_000_000)], "doc_id long, text string")
+    began = time.time()
+    out = personal.find(rows).withColumn("masked", personal.redacted(F.col("text"), F.col("spans")))
+    got = {r.doc_id: r for r in out.select("doc_id", F.size("base").alias("n"), F.md5("masked").alias("h")).collect()}
+    assert [got[i].n for i in (1, 2, 3, 4)] == [200_000, 0, 0, 0]
+    assert got[1].h == hashlib.md5(("call 555-1234-5 at [IP] or [PHONE], " * 100_000).encode()).hexdigest() and time.time() - began < 60
+
+
+def test_redacted(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        text = "".join(rng.choice("aé😀 ") for _ in range(rng.choice([0, 5, 1023, 1024, 1025, 5000])))
+        spans = sorted({tuple(sorted(rng.sample(range(len(text) + 1), 2))) for _ in range(rng.randint(0, 150))} if text else [])
+        rows.append((i, text, [(s, e, "ip") for s, e in spans]))
+    got = {r.doc_id: r.m for r in spark.createDataFrame(rows, "doc_id long, text string, spans array<struct<start:int,end:int,kind:string>>").select("doc_id", personal.redacted(F.col("text"), F.col("spans")).alias("m")).collect()}
+    for i, text, spans in rows:
+        out, at = "", 0
+        for s, e, _ in spans:
+            out, at = (out + text[at:s] + "[IP]", e) if s >= at else (out, max(at, e))
+        assert got[i] == out + text[at:]
+
+
+def test_clashing_names(spark):
+    """Columns with names that operators use inside."""
+    names = ["_hash", "_sid", "_shash", "id", "hash", "row", "sid", "base", "rest", "passes", "below", "_source", "_h", "h", "copies", "target", "a.b", "_key", "_paths", "_html", "_host", "found", "k"]
+    rows = spark.createDataFrame([(1, "mail a@b.org", "s", *["x"] * len(names))], "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    got = personal.find(rows).first().asDict()
+    assert got["_hash"] == got["row"] == got["a.b"] == "x" and [s.kind for s in got["spans"]] == ["email"]
+    got = mixing.mix(rows).first().asDict()
+    assert got["rest"] == got["below"] == got["_source"] == got["a.b"] == "x" and got["size"] == 2
+    got = pagetext.extract(rows.withColumn("html", F.lit("<p>t</p>")).withColumn("url", F.lit("u"))).first().asDict()
+    assert got["_key"] == got["_html"] == got["a.b"] == "x" and got["text"] == "t"
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body class="home-page">
 <header>top</header><nav><ul><li><a href="/">menu</a></ul></nav><div class="cookie-notice">we use</div><div id="wrap"><div class="post-42 entry">
 <h1>Head&amp;line</h1><p>First <b>bold</b>&nbsp; text<br>with break<p>Second, unclosed <a href=x>link</a><script>x("<p>no</p>")</script><ul><li>one<li>two</ul><table><tr><td>c1<td>c2</table></div>
