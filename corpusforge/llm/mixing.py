@@ -10,8 +10,8 @@ are sorted, and thresholds are nested: a larger rest takes all that a smaller on
 
 A document is in the rest if the middle of its words, in hash order, lies within it. The hash is the leading 60 bits of
 the MD5 of the id's decimal text, so reruns agree; rows of one id are taken or left together. Null text: size 0.
-Null sources are a source. Sizes of 0 take nothing. An empty table gives an empty table. Extra columns pass through
-unless they have a name that is added.
+Null sources are a source. Sizes of 0 take nothing. Very long texts are counted where they stand. An empty table gives an
+empty table. Columns pass through unless they have a name that is added.
 """
 
 from __future__ import annotations
@@ -20,12 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import WORD, shared_dir, stored
+from corpusforge.llm.common import WORD, drop_path, shared_dir, stored
 
 WEIGHTS = (5, 2, 1)
 BITS, LEVEL = 60, 10
-#: Up to so many sources the table of thresholds (about 60 bytes each) is broadcast; beyond it is joined by shuffling.
-FEW_SOURCES = 20_000
 
 
 def size_of(text: Column) -> Column:
@@ -58,19 +56,18 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return s.select("source", "source_size", "target", "passes", "rest")
 
 
-def _matched(rows: DataFrame, per_source: DataFrame, few: bool) -> DataFrame:
-    right = per_source.withColumnRenamed("source", "_source")
-    return rows.join(F.broadcast(right) if few else right, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+def _matched(rows: DataFrame, per_source: DataFrame) -> DataFrame:
+    return rows.join(per_source.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))).drop("name")
 
 
-def thresholds(sizes: DataFrame, goals: DataFrame, few: bool, folder: str) -> DataFrame:
+def thresholds(sizes: DataFrame, goals: DataFrame, folder: str) -> DataFrame:
     """Per source with a rest: ``below``, the least hash that isn't taken (null: all are)."""
     todo = goals.filter("rest > 0").select("source", F.lit(0).cast("long").alias("prefix"), F.col("rest").alias("left"))
     done: DataFrame | None = None
     spark = sizes.sparkSession
     for depth in range(1, BITS // LEVEL + 1):
         down = BITS - LEVEL * depth
-        rows = _matched(sizes, todo, few)
+        rows = _matched(sizes, todo)
         rows = rows.filter(F.shiftright("h", down + LEVEL) == F.col("prefix"))
         sums = rows.groupBy("source", F.shiftright("h", down).alias("bucket")).agg(F.sum("size").alias("words"), F.min("h").alias("lo"), F.max("h").alias("hi"), F.first("left").alias("left"))
         w = W.partitionBy("source").orderBy("bucket")
@@ -92,17 +89,17 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     """``docs`` with size, source_size, target, copies, and taken (words that the mix takes, repeats counted)."""
     spark = docs.sparkSession
     folder = shared_dir(spark)
-    given = docs.drop("size", "source_size", "target", "copies", "taken").withColumn("size", size_of(F.col(text))).withColumn("_h", hash_of(F.col(doc_id)))
-    sizes = stored(given.select(F.col(source).cast("string").alias("source"), "size", F.col("_h").alias("h")), f"{folder}/sizes")
+    names = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
+    # the input's columns are fields of one, so that none clashes
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(source).cast("string").alias("source"), size_of(F.col(text)).alias("size"), hash_of(F.col(doc_id)).alias("h"))
+    sizes = stored(given.select("source", "size", "h"), f"{folder}/sizes")
     goals = stored(targets(sizes, weights, share, most), f"{folder}/goals")
-    few = goals.count() <= FEW_SOURCES
-    below = thresholds(sizes, goals, few, folder)
-    right = below.withColumnRenamed("source", "_source")
-    goals = goals.join(right, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source").withColumnRenamed("source", "_source")
-    full = (F.col("rest") > 0) & F.coalesce(F.col("_h") < F.col("below"), F.lit(True))
+    below = thresholds(sizes, goals, folder).withColumnRenamed("source", "name")
+    goals = stored(goals.join(below, F.col("source").eqNullSafe(F.col("name")), "left").drop("name"), f"{folder}/ends")
+    drop_path(spark, f"{folder}/sizes")
+    full = (F.col("rest") > 0) & F.coalesce(F.col("h") < F.col("below"), F.lit(True))
     copies = F.col("passes") + full.cast("long")
-    out = given.join(F.broadcast(goals) if few else goals, F.col(source).cast("string").eqNullSafe(F.col("_source")))
-    return out.withColumn("copies", copies).withColumn("taken", F.col("size") * copies).drop("_h", "_source", "passes", "rest", "below")
+    return _matched(given, goals).select(*[F.col("row").getField(c).alias(c) for c in names], "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 
 
 #: Every step of ``mix`` for DuckDB: the thresholds by sums over all hashes instead of nested histograms.
