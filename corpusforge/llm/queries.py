@@ -39,7 +39,7 @@ def op1_pitmanyor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pagetext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pagetext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+    return pagetext.extract(table(spark, sf_dir, "pages"), columns=("page_id", "url"))
 
 
 def op3_egojoin(spark: SparkSession, sf_dir: str) -> DataFrame:
