@@ -5,7 +5,7 @@ document id: rows are dealt by ranges of the id, sorted within a task, and each
 shard below ``folder`` (a temporary name is renamed when complete, so that a repeated task replaces its shard).
 A shard is: magic, width of an id in bytes, SHA-256 of the dictionary; one zstandard frame for each document, all with
 the shared dictionary; an index of ids, offsets and token counts; its place, CRC-32 and magic. The dictionary, trained
-on the serialized ids of at most ``SAMPLE`` documents (those of the least hash of the id; a documented bound), is stored
+on the serialized ids of at most ``SAMPLE`` documents and ``SAMPLE_BYTES`` (those of the least hash of the id; a documented bound), is stored
 beside the shards. ``write`` returns the manifest: shard, path, n_docs, n_tokens, dict_sha256, start (ids before it).
 ``read`` reads shards back; ``read_document`` one document by its id, without the rest of the shard.
 
@@ -13,14 +13,16 @@ Words between white space are encoded once and remembered, up to ``CACHE`` a wor
 ASCII white space. A text that contains one of the tokenizer's added tokens is encoded as a whole.
 
 Null text: as empty (the end id only). A null document id is written as the least; equal ids keep all their rows, in
-order of the text. An empty table: no shard. Extra columns are ignored.
+order of the text's hash. Very long texts are encoded in parts of ``PART`` bytes. An empty table: no shard. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import gc
 import hashlib
+import math
 import os
+import re
 import struct
 import zlib
 
@@ -31,13 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusforge.llm.common import shared_dir, stored, width
+from corpusforge.llm.common import portions, shared_dir, stored, width
 
 MAGIC = b"FIDS0001"
 TAIL = "<QQI8s"
 SAMPLE = 1_000
 DICT_BYTES = 64 * 1024
+SAMPLE_BYTES = 32_000_000
 CACHE = 1_200_000
+PART = 4_000_000
+SHARD = 32_000_000  # bytes of text a shard
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 NO_ID = -(2**63)
 
 
@@ -52,6 +58,19 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+class Known(dict):
+    """Serialized ids by word, encoded when first asked for."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHE:
+            self.clear()
+        self[word] = found = self.encode(word.decode())
+        return found
+
+
 class Encoder:
     """A tokenizers file with its remembered words."""
 
@@ -63,29 +82,30 @@ class Encoder:
         n = self.tok.get_vocab_size()
         self.kind = np.dtype("<u2") if n <= 1 << 16 else np.dtype("<u4")
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.words: dict[bytes, bytes] = {}
+        self.words = Known(self._one)
 
     def pack(self, ids) -> bytes:
         return np.fromiter(ids, self.kind).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _one(self, text: str) -> bytes:
+        return self.pack(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def encode(self, text: str) -> bytes:
         """Serialized ids, without an end id."""
-        split = [None if any(a in t for a in self.added) else t.encode().split() for t in texts]
-        wanted: set[bytes] = set()
-        for x in split:
-            if x is not None:
-                wanted.update(x)
-        missing = wanted.difference(self.words)
-        if len(self.words) + len(missing) > CACHE:
-            self.words.clear()
-            missing = wanted
-        new = list(missing)
-        for k in range(0, len(new), 10_000):
-            part = new[k : k + 10_000]
-            got = self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.words.update((w, self.pack(e.ids)) for w, e in zip(part, got, strict=True))
-        get = self.words.__getitem__
-        return [self.pack(self.tok.encode(t, add_special_tokens=False).ids) if x is None else b"".join(map(get, x)) for t, x in zip(texts, split, strict=True)]
+        if any(a in text for a in self.added):
+            return self._one(text)
+        get, t = self.words.__getitem__, text.encode()
+        return b"".join([b"".join(map(get, t[a:b].split())) for a, b in parts(t)])
+
+
+def parts(text: bytes):
+    """Places of parts of at most about ``PART`` bytes, cut at white space."""
+    a = 0
+    while a < len(text):
+        m = SPACE.search(text, a + PART) if a + PART < len(text) else None
+        b = m.start() if m else len(text)
+        yield a, b
+        a = b
 
 
 _encoders: dict[str, Encoder] = {}
@@ -117,13 +137,18 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
     spark = docs.sparkSession
     folder = folder or shared_dir(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    count, size = rows.agg(F.count("*"), F.sum(F.octet_length("text") + 16)).first()
     # a hash bound leaves about twice the sample, so that tasks don't each send as many texts as the sample has
-    share = min(1.0, 2 * SAMPLE / max(1, rows.count()))
-    near = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30)))
-    some = [r.text for r in near.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "text").limit(SAMPLE).collect()]
+    share = min(1.0, 2 * SAMPLE / max(1, count))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    near = stored(rows.filter(place <= int(share * (1 << 30))).orderBy(place, "text").limit(SAMPLE).withColumn("n", F.octet_length("text")), f"{folder}/sample")
+    sizes = near.groupBy(place.alias("place")).agg(F.sum("n").alias("n")).orderBy("place").collect()
+    upto = np.cumsum([r.n for r in sizes]) <= SAMPLE_BYTES
+    last = sizes[int(upto.sum()) - 1].place if upto.any() else -1
+    some = [r.text for r in near.filter(place <= last).orderBy(place, "text").collect()]
     enc = encoder(tokenizer)
     end = enc.pack([end_id])
-    raw = train([x + end for x in enc.encode(some)])
+    raw = train([enc.encode(x) + end for x in some])
     enc.words.clear()
     key = hashlib.sha256(raw).digest()
     fs, at = open_fs(f"{folder}/shards")
@@ -140,13 +165,13 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
         ids, offsets, counts, out = [], [0], [], None
         task = TaskContext.get()
         for whole in batches:
-            for k in range(0, whole.num_rows, 512):
-                b = whole.slice(k, 512)
+            for b in portions(whole, 1):
                 if out is None:
                     fs, path = open_fs(f"{folder}/shards/shard-{task.partitionId():08d}")
                     out = fs.open_output_stream(temp := f"{path}.{task.taskAttemptId()}.tmp")
                     out.write(MAGIC + bytes([e.kind.itemsize]) + key)
-                for i, x in zip(b.column(0).to_pylist(), e.encode(b.column(1).to_pylist()), strict=True):
+                for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    x = e.encode(t)
                     frame = pack.compress(x + end)
                     out.write(frame)
                     ids.append(NO_ID if i is None else i)
@@ -161,7 +186,9 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
         fs.move(temp, path)
         yield pa.RecordBatch.from_pydict({"shard": [task.partitionId()], "path": [f"{folder}/shards/shard-{task.partitionId():08d}"], "n_docs": [len(ids)], "n_tokens": [sum(counts)], "dict_sha256": [key.hex()]}, schema=pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("dict_sha256", pa.string())]))
 
-    dealt = rows.repartitionByRange(width(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id (or none) are dealt by their text's hash as well
+    order = ("doc_id", "hash", "text")
+    dealt = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(max(1, math.ceil((size or 0) / SHARD)), *order[:2]).sortWithinPartitions(*order).select("doc_id", "text")
     manifest = stored(dealt.mapInArrow(run, "shard int, path string, n_docs long, n_tokens long, dict_sha256 string"), f"{folder}/manifest")
     # one row a shard
     before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
@@ -206,14 +233,21 @@ def read(manifest: DataFrame) -> DataFrame:
             for path, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 s = Shard(path)
                 starts = start + np.cumsum(s.counts) - s.counts
-                for k in range(0, len(s.ids), 256):
-                    part = [s.get(i) for i in range(k, min(k + 256, len(s.ids)))]
-                    if (lengths := [len(x) for x in part]) != s.counts[k : k + 256].tolist():
+                # parts of at most 256 documents and about 4 million ids
+                cut, full = [0], 0
+                for k, n in enumerate(s.counts.tolist()):
+                    if k > cut[-1] and (k - cut[-1] == 256 or full + n > 4_000_000):
+                        cut.append(k)
+                        full = 0
+                    full += n
+                for k, e in zip(cut, [*cut[1:], len(s.ids)], strict=True):
+                    part = [s.get(i) for i in range(k, e)]
+                    if (lengths := [len(x) for x in part]) != s.counts[k:e].tolist():
                         raise ValueError(f"{path}: the index and the frames differ")
                     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                     ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(part).astype(np.int32)))
-                    names = s.ids[k : k + 256]
-                    yield pa.RecordBatch.from_arrays([pa.array(names, mask=names == NO_ID), pa.array(starts[k : k + 256]), ids], names=["doc_id", "start", "ids"])
+                    names = s.ids[k:e]
+                    yield pa.RecordBatch.from_arrays([pa.array(names, mask=names == NO_ID), pa.array(starts[k:e]), ids], names=["doc_id", "start", "ids"])
 
     return manifest.select("path", "start", "shard").repartition(width(spark), "shard").mapInArrow(run, "doc_id long, start long, ids array<int>")
 

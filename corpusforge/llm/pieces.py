@@ -9,7 +9,8 @@ Distinct chunks are encoded once and remembered, up to ``CACHE`` chunks per work
 Short chunks of equal length go through the agenda together as rows of an array: each step merges every row's best
 pair, so that all rows stay equally long. Longer ones use a heap.
 
-Null text: encoded as the empty text (no ids, decoded to ''). Other columns pass through unless they are named
+Null text: encoded as the empty text (no ids, decoded to ''). Very long texts are slices of their own. Pairs of equal
+score are merged from the left. Other columns pass through unless they are named
 ``ids`` or ``decoded``, which are replaced. Repeated rows stay repeated; an empty table gives an empty table.
 """
 
@@ -26,10 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusforge.llm.common import portions
+
 CACHE = 1_200_000
 SHORT = 48  # characters up to which chunks share an array
 MARK = "▁"
 
+
 def packed(ids) -> bytes:
     return np.fromiter(ids, "<i4").tobytes()
 
@@ -232,7 +236,7 @@ def pieces(path: str) -> Pieces:
     return _loaded[path]
 
 
-def encode_decode(docs: DataFrame, model: str, text: str = "text", batch: int = 512) -> DataFrame:
+def encode_decode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` array<int> and ``decoded`` string (the library's decode of these ids)."""
     keep = [c for c in docs.columns if c not in ("ids", "decoded", "_piece_text")]
     given = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_piece_text"))
@@ -242,8 +246,7 @@ def encode_decode(docs: DataFrame, model: str, text: str = "text", batch: int =
         p = pieces(model)
         gc.disable()  # millions of small lists without cycles
         for whole in batches:
-            for at in range(0, whole.num_rows, batch):
-                b = whole.slice(at, batch)
+            for b in portions(whole, whole.num_columns - 1):
                 ids = p.encode(b.column(b.num_columns - 1).to_pylist())
                 decoded = [p.sp.decode(x.tolist()) if len(x) else "" for x in ids]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
