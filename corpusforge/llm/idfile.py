@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import json
 import math
 import os
 import re
@@ -40,9 +41,12 @@ TAIL = "<QQI8s"
 SAMPLE = 1_000
 DICT_BYTES = 64 * 1024
 SAMPLE_BYTES = 32_000_000
-CACHE = 1_200_000
+CACHE = 900_000
 PART = 4_000_000
 SHARD = 32_000_000  # bytes of text a shard
+#: A pattern under which a word's ids are those of its letters and of the marks after them.
+APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+TAILS = b".,!;:?#$%&*|"
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 NO_ID = -(2**63)
 
@@ -58,21 +62,12 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-class Known(dict):
-    """Serialized ids by word, encoded when first asked for."""
-
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = found = self.encode(word.decode())
-        return found
-
-
 class Encoder:
-    """A tokenizers file with its remembered words."""
+    """A tokenizers file with its remembered words.
+
+    Where the file lowers all letters, words are looked up with A-Z lowered. Where its pattern takes letters, single digits
+    and runs of the rest apart, a word that ends in marks is the word before them and the marks.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -82,20 +77,67 @@ class Encoder:
         n = self.tok.get_vocab_size()
         self.kind = np.dtype("<u2") if n <= 1 << 16 else np.dtype("<u4")
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.words = Known(self._one)
+        with open(path, "rb") as f:
+            said = json.load(f)
+        self.lowers = '"type": "Lowercase"' in json.dumps(said.get("normalizer"))
+        self.apart = json.dumps(APART) in json.dumps(said.get("pre_tokenizer"))
+        self.marks = [a.encode() for a in self.added]
+        self.words: dict[bytes, bytes] = {}
 
     def pack(self, ids) -> bytes:
-        return np.fromiter(ids, self.kind).tobytes()
-
-    def _one(self, text: str) -> bytes:
-        return self.pack(self.tok.encode(text, add_special_tokens=False).ids)
+        return struct.pack(f"<{len(ids)}{'H' if self.kind.itemsize == 2 else 'I'}", *ids)
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, texts: list[str]) -> list[bytes]:
         """Serialized ids, without an end id."""
-        if any(a in text for a in self.added):
-            return self._one(text)
-        get, t = self.words.__getitem__, text.encode()
-        return b"".join([b"".join(map(get, t[a:b].split())) for a, b in parts(t)])
+        split = []
+        for t in texts:
+            raw = t.encode()
+            low = raw.lower() if self.lowers else raw
+            split.append(None if any(a in low or a in raw for a in self.marks) else low)
+        out = []
+        for t, raw in zip(texts, split, strict=True):
+            if raw is None:
+                out.append(self.pack(self.tok.encode(t, add_special_tokens=False).ids))
+                continue
+            out.append(b"".join([self.join(raw[a:b].split()) for a, b in parts(raw)]))
+        return out
+
+    def join(self, words: list[bytes]) -> bytes:
+        try:
+            return b"".join(map(self.words.__getitem__, words))
+        except KeyError:
+            self.learn(set(words))
+        return b"".join(map(self.words.__getitem__, words))
+
+    def learn(self, words: set[bytes]) -> None:
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > CACHE:
+            self.words.clear()
+            new = words
+        known, todo = self.words, []
+        for w in new:
+            stem = w.rstrip(TAILS) if self.apart else w
+            if len(stem) < len(w) and stem[-1:].isalnum() and (x := known.get(stem)) is not None and (y := known.get(w[len(stem) :])) is not None:
+                known[w] = x + y
+            else:
+                todo.append(w)
+        known.update(zip(todo, self.apart_ids([w.decode() for w in todo]), strict=True))
+
+    def apart_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of words, which one of the added tokens, always a token of its own, keeps apart in fewer texts."""
+        out: list[bytes] = []
+        if self.added:
+            sep, size = self.tok.token_to_id(self.added[0]), self.kind.itemsize
+            texts = [self.added[0].join(words[k : k + 200]) for k in range(0, len(words), 200)]
+            for e in self.tok.encode_batch_fast(texts, add_special_tokens=False):
+                ids, raw, s = e.ids, self.pack(e.ids), 0
+                for at in [i for i, x in enumerate(ids) if x == sep]:
+                    out.append(raw[s * size : at * size])
+                    s = at + 1
+                out.append(raw[s * size :])
+        if len(out) != len(words):
+            out = [self.pack(e.ids) for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+        return out
 
 
 def parts(text: bytes):
@@ -137,18 +179,19 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
     spark = docs.sparkSession
     folder = folder or shared_dir(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    count, size = rows.agg(F.count("*"), F.sum(F.octet_length("text") + 16)).first()
+    count = rows.count()
     # a hash bound leaves about twice the sample, so that tasks don't each send as many texts as the sample has
     share = min(1.0, 2 * SAMPLE / max(1, count))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     near = stored(rows.filter(place <= int(share * (1 << 30))).orderBy(place, "text").limit(SAMPLE).withColumn("n", F.octet_length("text")), f"{folder}/sample")
-    sizes = near.groupBy(place.alias("place")).agg(F.sum("n").alias("n")).orderBy("place").collect()
+    sizes = near.groupBy(place.alias("place")).agg(F.sum("n").alias("n"), F.count("*").alias("rows")).orderBy("place").collect()
+    size = count * (sum(r.n for r in sizes) / max(1, sum(r.rows for r in sizes)) + 16)  # as the sample is
     upto = np.cumsum([r.n for r in sizes]) <= SAMPLE_BYTES
     last = sizes[int(upto.sum()) - 1].place if upto.any() else -1
     some = [r.text for r in near.filter(place <= last).orderBy(place, "text").collect()]
     enc = encoder(tokenizer)
     end = enc.pack([end_id])
-    raw = train([enc.encode(x) + end for x in some])
+    raw = train([x + end for x in enc.encode(some)])
     enc.words.clear()
     key = hashlib.sha256(raw).digest()
     fs, at = open_fs(f"{folder}/shards")
@@ -170,8 +213,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
                     fs, path = open_fs(f"{folder}/shards/shard-{task.partitionId():08d}")
                     out = fs.open_output_stream(temp := f"{path}.{task.taskAttemptId()}.tmp")
                     out.write(MAGIC + bytes([e.kind.itemsize]) + key)
-                for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    x = e.encode(t)
+                for i, x in zip(b.column(0).to_pylist(), e.encode(b.column(1).to_pylist()), strict=True):
                     frame = pack.compress(x + end)
                     out.write(frame)
                     ids.append(NO_ID if i is None else i)
@@ -188,7 +230,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
 
     # rows of one id (or none) are dealt by their text's hash as well
     order = ("doc_id", "hash", "text")
-    dealt = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(max(1, math.ceil((size or 0) / SHARD)), *order[:2]).sortWithinPartitions(*order).select("doc_id", "text")
+    dealt = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(max(1, math.ceil(size / SHARD)), *order[:2]).sortWithinPartitions(*order).select("doc_id", "text")
     manifest = stored(dealt.mapInArrow(run, "shard int, path string, n_docs long, n_tokens long, dict_sha256 string"), f"{folder}/manifest")
     # one row a shard
     before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)

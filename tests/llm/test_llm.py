@@ -90,6 +90,18 @@ def test_idfile(spark, docs, none):
     assert idfile.read(idfile.write(none, tokenizer(WORD_BPE), 2)).count() == 0
 
 
+def test_idfile_words(monkeypatch):
+    """Remembered words, marks after them, letters that are lowered, and forgetting, against the library."""
+    monkeypatch.setattr(idfile, "CACHE", 40)
+    e, rng = idfile.Encoder(tokenizer(WORD_BPE)), random.Random(6)
+    odd = ["A,b ÀÉ!!! İstanbul ΣΑΣ, ΟΔΟΣ. 12,5% x'S don'T, <|ENDOFTEXT|> a", "é, É!! KK ﬁ, ß. ||| a|b| 9!", "é̂,, 漢字, 1., ²! ٣, "]
+    some = ["The", "the", "the,", "THE!!", "x'S", "é,", "9.", "%%%", "e\u0301,", "don't", "a", "a$$$", "ǅ:", "<|startoftext|>", ","]
+    texts = odd + [" ".join(rng.choices(some, k=rng.randint(0, 60))) for _ in range(200)]
+    for k in range(0, len(texts), 7):
+        part = texts[k : k + 7]
+        assert [np.frombuffer(x, e.kind).tolist() for x in e.encode(part)] == [e.tok.encode(t, add_special_tokens=False).ids for t in part]
+
+
 def test_idfile_long(spark, monkeypatch):
     """Parts, shards and slices of long texts, and rows of one id over several shards."""
     from tokenizers import Tokenizer
