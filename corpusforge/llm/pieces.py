@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from corpusforge.llm.common import portions
 
-CACHE = 1_200_000
+CACHE = 500_000
 SHORT = 48  # characters up to which chunks share an array
 MARK = "▁"
 

@@ -47,7 +47,7 @@ SAMPLE = 1_500
 SAMPLE_BYTES = 64_000_000
 SPAN = 32
 ROUNDS = 3
-CACHE = 1_000_000
+CACHE = 400_000
 LONG = 64  # a longer word is read in overlapping windows of this length
 WINDOW, STEP = 16, 4  # windows over every word longer than that, so that up to 13 letters stand in one whole
 MANY = 16_384  # forms that are compared at once
@@ -187,7 +187,7 @@ class Model:
             near = [x for x, y in zip(flat, ok, strict=True) if y]
             for (i, _), v in zip(near, self.similar([w for _, w in near]), strict=True):
                 if (m := v[: self.telling].max()) > FLOOR and (i not in out or m > out[i][: self.telling].max()):
-                    out[i] = v
+                    out[i] = v.copy()  # not a view of all of them
         return out
 
     def sentences(self, text: str) -> list[list[str]]:
@@ -296,7 +296,7 @@ def landmarks_of(words: list[set[str]], toxic: np.ndarray) -> tuple[list[str], i
     if not names:
         return [], 0
     index = {w: i for i, w in enumerate(names)}
-    offset, code, weight = coded(names)
+    offset, code, _ = coded(names)
     seen, found = np.zeros((2, ALPHABET**3), np.int32), np.zeros((2, len(names)), np.int32)
     for x, label in zip(words, toxic.tolist(), strict=True):
         at = np.array([index[w] for w in x if w in index], np.int64)
@@ -306,10 +306,13 @@ def landmarks_of(words: list[set[str]], toxic: np.ndarray) -> tuple[list[str], i
             mark[np.concatenate([code[offset[i] : offset[i + 1]] for i in at.tolist()])] = True
         seen[int(label)] += mark
     by_word, by_part = gains(found[1], found[0], n1, n0), gains(seen[1], seen[0], n1, n0)
-    part = by_part[code]
-    total = np.add.reduceat(weight, offset[:-1])
-    share = np.add.reduceat(weight * (part > 0), offset[:-1]) / total
-    value = np.add.reduceat(weight * part, offset[:-1]) / total
+    del code
+    share, value = np.zeros(len(names)), np.zeros(len(names))
+    for k in range(0, len(names), 20_000):
+        offset, code, weight = coded(names[k : k + 20_000])
+        part, total = by_part[code], np.add.reduceat(weight, offset[:-1])
+        share[k : k + 20_000] = np.add.reduceat(weight * (part > 0), offset[:-1]) / total
+        value[k : k + 20_000] = np.add.reduceat(weight * part, offset[:-1]) / total
     loose = (share >= PART) & (found[0] == 0) & (found[1] > 0)
     rank = np.where(by_word > 0, 1e6 + found[1] * by_word, np.where(loose, found[1] * value, 0.0))
     order = np.lexsort((np.arange(len(names)), -rank))[: 10 * LANDMARKS]
@@ -357,10 +360,12 @@ def fit(texts: list[str], toxic: list[bool]) -> Model:
     k = m.similar(m.landmarks).astype(float)
     val, vec = np.linalg.eigh((k + k.T) / 2)
     root = vec @ np.diag(1 / np.sqrt(np.maximum(val, 0.05))) @ vec.T
-    seen = m.see(texts)
     # the sample's telling words as they are written to be overlooked, where no clean text has them
-    clean = {w for x, label in zip(words, y.tolist(), strict=True) if not label for w in x}
-    bent = m.see([v for w in m.landmarks[: m.telling] for v in variants(w) if v not in clean])
+    bent = {v for w in m.landmarks[: m.telling] for v in variants(w)}
+    bent -= set().union(*(bent & x for x, label in zip(words, y.tolist(), strict=True) if not label))
+    del words
+    seen = [x for part in itertools.batched(texts, 64) for x in m.see(part)]
+    bent = m.see(sorted(bent))
     x = np.concatenate([*seen, *bent]).astype(float) @ root
     of = np.repeat(np.arange(len(seen)), [len(g) for g in seen])
     toxic_row = np.concatenate([y[of], np.ones(len(x) - len(of), bool)])
@@ -382,7 +387,9 @@ def fit(texts: list[str], toxic: list[bool]) -> Model:
         positive[: len(of)] |= toxic_row[: len(of)] & (f[: len(of)] == best[of])
     m.weights, m.bias = root @ w, b
     m.least = min(-1.0, b)
-    m.slope, m.shift = platt(m.decide(texts), y)
+    m.slope, m.shift = platt(np.concatenate([m.decide(part) for part in itertools.batched(texts, 64)]), y)
+    m.known.clear()
+    m.rows.clear()
     return m
 
 
