@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 import numpy as np
@@ -19,8 +21,11 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
-    if not base:
+    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if not base:  # one machine, as in tests
+        base = tempfile.mkdtemp(prefix="forge-")
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/forge-{uuid.uuid4().hex}"
 
 
