@@ -36,7 +36,7 @@ def bound(c: Column, f) -> Column:
 
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(c, r"(?U)^\s++|(?<!\s)\s++$", "")
 
 
 def words(c: Column) -> Column:
@@ -49,7 +49,7 @@ def word_count(c: Column) -> Column:
 
 def kept(c: Column, cls: str) -> Column:
     """How many characters of a class a text has."""
-    return F.length(F.regexp_replace(c, f"[^{cls}]", ""))
+    return F.length(F.regexp_replace(c, f"[^{cls}]+", ""))
 
 
 def script_ratio(c: Column, part: str, whole: str = r"\p{L}") -> Column:

@@ -180,7 +180,7 @@ def dedup_exact(spark, sf):
     return dedup.keep_first(doubled(spark, sf), t.pair_hash(F.col("mk"), F.col("sq")), ["ord"]).select("pair_id", F.col("idx").cast("long").alias("idx"), "ord")
 
 
-@query(f"with {v.PAIRS} select pair_id, idx from (select *, row_number() over (partition by pair_id, substr(mk, 1, 20), substr(sq, 1, 20) order by idx) as r from sent_pairs) where r = 1")
+@query(f"with {v.PAIRS} select pair_id, idx from (select *, row_number() over (partition by pair_id, substr(mk, 1, 120), substr(sq, 1, 120) order by idx) as r from sent_pairs) where r = 1")
 def dedup_prefix(spark, sf):
     s = v.sent_pairs(spark, sf)
     return dedup.keep_first(s, F.struct("pair_id", F.substring("mk", 1, 120), F.substring("sq", 1, 120)), ["idx"]).select("pair_id", F.col("idx").cast("long").alias("idx"))
@@ -197,7 +197,7 @@ def dedup_rate(spark, sf):
     return d.agg((F.count("*") - F.count_distinct(t.pair_hash(mk, sq))).alias("n_again"), (F.count("*") - F.count_distinct(F.concat(t.strip(mk), F.lit("|"), t.strip(sq)))).alias("n_again_cased"), F.count("*").alias("n"))
 
 
-K, B, R = 24, 4, 6
+K, B, R = 128, 3, 42
 PERMS = "[" + ", ".join(f"{{'a': {a}::bigint, 'b': {b}::bigint}}" for a, b in dedup.permutations(K)) + "]"
 SIGS = rf"""{v.PAIRS}, x as (select pair_id, idx, lower({v.sql_strip("mk")}) as m from sent_pairs),
 h as (select pair_id, idx, list_transform(list_distinct(list_transform(range(greatest(0, length(m) - 2)), lambda i: substr(m, i + 1, 3))), lambda s: ('0x' || substr(md5(s), 1, 8))::bigint % 2147483647) as h from x),
