@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as t
@@ -22,6 +22,25 @@ def has_target_signal(c: Column, words: tuple[str, ...] = TARGET_WORDS, least_la
     return F.coalesce(found | (t.latin_ratio(c) > least_latin), F.lit(False))
 
 
+def gatekeeper(sizes: DataFrame, pages: DataFrame, key: str = "doc_id", least_kb: int = 50, least_chars: int = 20) -> DataFrame:
+    """key, should_process, reason, detail: size of the file (``size`` in bytes), pages, text layer, target language, in this
+    order. A document passes if any page (``body``) shows the target language; one aggregation sees all pages at once."""
+    g = pages.groupBy(key).agg(F.count("*").alias("n"), F.sum(F.length(t.strip(F.col("body")))).alias("chars"), F.bool_or(has_target_signal(F.col("body"))).alias("signal"))
+    d = sizes.select(key, "size").join(g, key, "left")
+    kb, n, chars = F.col("size") / 1024, F.coalesce("n", F.lit(0)), F.coalesce("chars", F.lit(0))
+    reason = first_reason((F.col("size").isNull() | (n == 0) & (kb >= least_kb), "corrupt_or_unreadable"), (kb < least_kb, "file_too_small"), (chars < least_chars, "scanned_no_text_layer"), (~F.col("signal"), "no_albanian_detected"))
+    pages_of = F.concat(n.cast("string"), F.lit(" pages"))
+    said = {"file_too_small": F.concat(F.bround(kb).cast("long").cast("string"), F.lit(f" KB < {least_kb} KB")), "corrupt_or_unreadable": pages_of, "scanned_no_text_layer": F.concat(F.lit("Only "), chars.cast("string"), F.lit(" chars across "), pages_of), "no_albanian_detected": F.concat(F.lit("No Albanian signals in "), pages_of)}
+    d = d.withColumn("reason", F.when(reason == "", "none").otherwise(reason))
+    detail = F.coalesce(*[F.when(F.col("reason") == k, v) for k, v in said.items()], F.lit(""))
+    return d.select(key, (F.col("reason") == "none").alias("should_process"), "reason", detail.alias("detail"))
+
+
+def confident(c: Column, least: float = 0.25) -> Column:
+    """At least the least confidence; a bound of zero or less lets all pass, unknown ones too."""
+    return F.lit(True) if least <= 0 else F.coalesce(c >= least, F.lit(False))
+
+
 def pair_reason(a: Column, b: Column, source_part: str = t.CYRILLIC, target_part: str = "A-Za-z", lo: int = 5, hi: int = 200) -> Column:
     """The pair filter: words per side, ratio of word counts, digits, scripts."""
     x, y = t.word_count(a), t.word_count(b)

@@ -12,7 +12,11 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from corpusforge.operators import vectors
+from corpusforge.sources.storage import written
 
 MEAN_RATIO, VARIANCE = 1.1, 6.8
 #: Priors of moves, second and first generation.
@@ -120,19 +124,48 @@ def align(df: DataFrame, keys: list[str], method: str, a: str = "a", b: str = "b
 
 
 def monotone_chain(pairs: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
-    """The heaviest subset in which the second index rises with the first; the first best end wins."""
+    """The heaviest subset in which the second index rises with the first; the first best end wins. A tree of prefix maxima
+    over the second index gives each pair's best predecessor in logarithmic time."""
     pairs = sorted(pairs, key=lambda p: (p[0], p[1]))
     if not pairs:
         return []
-    j, w = np.array([p[1] for p in pairs]), np.array([p[2] for p in pairs], float)
-    total, came = w.copy(), np.full(len(w), -1)
-    for k in range(1, len(w)):
-        before = np.where(j[:k] < j[k], total[:k], -np.inf)
-        p = int(before.argmax())
-        if before[p] + w[k] > w[k]:
-            total[k], came[k] = before[p] + w[k], p
-    k, out = int(total.argmax()), []
+    rank = {j: r for r, j in enumerate(sorted({p[1] for p in pairs}), 1)}
+    tree: list[tuple[float, int]] = [(-math.inf, 0)] * (len(rank) + 1)  # best total and the negated place of its first pair
+    total, came = [], []
+    for k, (_, j, w) in enumerate(pairs):
+        best, at = (-math.inf, 0), rank[j] - 1
+        while at > 0:
+            best, at = max(best, tree[at]), at & (at - 1)
+        total.append(best[0] + w if best[0] > 0 else w)
+        came.append(-best[1] if best[0] > 0 else -1)
+        at = rank[j]
+        while at <= len(rank):
+            tree[at] = max(tree[at], (total[k], -k))
+            at += at & -at
+    k, out = int(np.argmax(total)), []
     while k >= 0:
         out.append(pairs[k])
         k = came[k]
     return out[::-1]
+
+
+def chains(matches: DataFrame) -> DataFrame:
+    """grp, i, j, sim: the heaviest rising chain of each group's matches."""
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        got = monotone_chain(list(zip(g.i, g.j, g.sim, strict=True)))
+        return pd.DataFrame({"grp": [g.grp.iloc[0]] * len(got), "i": [x[0] for x in got], "j": [x[1] for x in got], "sim": [x[2] for x in got]})
+
+    return matches.groupBy("grp").applyInPandas(run, f"grp {matches.schema['grp'].dataType.simpleString()}, i long, j long, sim double")
+
+
+def dense(sides: DataFrame, key: str, embed: Callable[[Column], Column], least: float = 0.70, fewest: int = 3) -> DataFrame:
+    """key, mk, sq, sim: sentences (arrays a and b) that are each other's nearest, in a rising chain, of documents with at
+    least two sentences a side and ``fewest`` pairs. ``embed`` gives a text's vector (array<double>)."""
+    s = sides.filter((F.size("a") >= 2) & (F.size("b") >= 2))
+    part = lambda c, side: s.select(F.col(key).alias("grp"), F.lit(side).alias("side"), F.posexplode(c).alias("i", "body"))
+    rows = written(part("a", "s").unionByName(part("b", "t")).select("grp", "side", F.col("i").cast("long").alias("i"), "body", embed(F.col("body")).alias("v")))
+    chain = written(chains(vectors.mutual(vectors.best_matches(rows.select("grp", "side", "i", vectors.unit(F.col("v")).alias("v"))), least)))
+    enough = chain.groupBy("grp").count().filter(F.col("count") >= fewest).select("grp")
+    text = lambda side, i, name: rows.filter(F.col("side") == side).select("grp", F.col("i").alias(i), F.col("body").alias(name))
+    return chain.join(enough, "grp", "left_semi").join(text("s", "i", "mk"), ["grp", "i"]).join(text("t", "j", "sq"), ["grp", "j"]).select(F.col("grp").alias(key), "mk", "sq", "sim")

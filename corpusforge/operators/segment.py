@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as t
@@ -14,14 +14,15 @@ ARTICLE_SQ_EARLY = r"Neni\s+(\d+[a-zA-Zа-яА-Я]?)|NENI\s+(\d+)"
 SUBSECTIONS = {"mk": (r"точка\s+(\d+)", r"Ставот?\s+(\d+)"), "sq": (r"Pika\s+(\d+)", r"Paragrafi\s+(\d+)", r"Shkronja\s+([a-zA-Z])")}
 
 
-def numbered_parts(body: Column, pattern: str, number: str) -> Column:
-    """Array of (pos, number, body): what follows each match up to the next, stripped; text before the first is dropped."""
+def numbered_parts(body: Column, pattern: str, number: str, keep: str = "") -> Column:
+    """Array of (pos, number, body): what follows each match up to the next, after the match's part ``keep``, stripped;
+    text before the first is dropped."""
     def made(parts: Column) -> Column:
         pairs = F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2))
         some = F.transform(pairs, lambda i: F.struct(((i - 1) / 2).cast("int").alias("pos"), F.get(parts, i).alias("number"), t.strip(F.get(parts, i + 1)).alias("body")))
         return F.when(F.size(parts) >= 3, some).otherwise(F.array().cast("array<struct<pos:int,number:string,body:string>>"))
 
-    return t.bound(F.split(F.regexp_replace(body, pattern, f"{CUT}{number}{CUT}"), CUT), made)
+    return t.bound(F.split(F.regexp_replace(body, pattern, f"{CUT}{number}{CUT}{keep}"), CUT), made)
 
 
 def last_of(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -35,11 +36,41 @@ def items(docs: DataFrame, keys: list[str], pattern: str = t.ITEM, least: int =
     return last_of(e.filter(F.length("body") >= least), [*keys, "number"])
 
 
-def articles_early(docs: DataFrame, keys: list[str], pattern: str, groups: int) -> DataFrame:
-    """keys, number (like '24a'), body with at least ten characters; a text without marks is article '0'."""
-    found = items(docs, keys, pattern.replace("(?:", "("), 10) if groups == 1 else items(docs, keys, pattern, 10)
-    rest = docs.join(found.select(*keys).distinct(), keys, "left_anti").filter(F.length(t.strip(F.col("body"))) >= 10)
-    return found.unionByName(rest.select(*keys, F.lit("0").alias("number"), F.lit(0).alias("pos"), t.strip(F.col("body")).alias("body")))
+def headed_articles(docs: DataFrame, keys: list[str], word: str) -> DataFrame:
+    """keys, number, pos, body: articles whose mark begins a line, the mark included; the last of a number wins."""
+    e = docs.select(*keys, F.explode(numbered_parts(F.col("body"), rf"(?md)^\s*({word}\s+(\d+))", "$2", "$1")).alias("x"))
+    return last_of(e.select(*keys, "x.number", "x.pos", "x.body"), [*keys, "number"])
+
+
+def article_segments(docs: DataFrame, keys: list[str], pattern: str, groups: int, least: int = 10) -> DataFrame:
+    """keys, pos, number (like '24a', of the first group that matches), heading, start, end, body: every article of at least
+    ``least`` characters, with its offsets, the mark included; a text without marks, unless blank, is article '0'.
+    ``keys`` name one row each."""
+    number = "".join(f"${k}" for k in range(1, groups + 1))
+
+    def made(parts: Column) -> Column:
+        part = lambda pos, number, heading, raw, before: F.struct(pos.alias("pos"), number.alias("number"), heading.alias("heading"), F.length(raw).alias("n"), t.strip(raw).alias("body"), before.alias("before"))
+        at = F.sequence(F.lit(1), F.greatest(F.size(parts) - 3, F.lit(1)), F.lit(3))
+        first = F.get(parts, F.lit(0))
+        some = F.transform(at, lambda i: part(((i - 1) / 3).cast("int"), F.get(parts, i), F.get(parts, i + 1), F.get(parts, i + 2), F.length(first)))
+        return F.when(F.size(parts) >= 4, some).otherwise(F.array(part(F.lit(0), F.lit("0"), F.lit(""), first, F.lit(0))))
+
+    parts = F.split(F.regexp_replace("body", pattern, f"{CUT}{number}{CUT}$0{CUT}"), CUT)
+    e = docs.select(*keys, F.explode(t.bound(parts, made)).alias("x")).select(*keys, "x.*")
+    span = F.length("heading") + F.col("n")
+    end = F.col("before") + F.sum(span).over(Window.partitionBy(*keys).orderBy("pos"))
+    e = e.withColumn("end", end).withColumn("start", F.col("end") - span)
+    whole = (F.col("heading") == "") & (F.col("body") != "")
+    return e.filter(whole | ((F.col("heading") != "") & (F.length("body") >= least))).select(*keys, "pos", "number", "heading", "start", "end", "body")
+
+
+def subsections(docs: DataFrame, keys: list[str], language: str) -> DataFrame:
+    """keys, kind (of the marks of ``language``), pos, number: marks of points, paragraphs and letters in order of each kind."""
+    def of(kind: int, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all("body", F.lit(pattern), F.lit(1)), lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), x.alias("number")))
+
+    found = [of(k, p) for k, p in enumerate(SUBSECTIONS[language])]
+    return docs.select(*keys, F.explode(F.concat(*found)).alias("x")).select(*keys, "x.*")
 
 
 def matched(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusforge.functions import text as t
 
@@ -63,3 +66,9 @@ def mutual(best: DataFrame, least: float = 0.70) -> DataFrame:
     s = best.filter("side = 's'").select("grp", "i", "j", "sim")
     u = best.filter("side = 't'").select("grp", F.col("i").alias("j"), F.col("j").alias("i"))
     return s.join(u, ["grp", "i", "j"]).filter(F.col("sim") >= least)
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def trigram_vector(s: pd.Series) -> pd.Series:
+    """Counts of character trigrams in 64 hash classes: a stand-in for a sentence encoder, which isn't here."""
+    return s.map(lambda x: np.bincount([zlib.crc32(x[i : i + 3].encode()) % 64 for i in range(max(1, len(x) - 2))], minlength=64).astype(float).tolist())

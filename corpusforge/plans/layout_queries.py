@@ -177,7 +177,7 @@ def join_items(spark, sf):
 
 
 @query(f"""with {BOTH}, m as (select pair_id, number, si.body as s_body, ti.body as t_body from si join ti using (pair_id, number) where pair_id % 3 <> 0)
-select pair_id, number, md5(s_body) as s_body, md5(t_body) as t_body from m union all select pair_id, '0', md5(s_text), md5(t_text) from bitext where pair_id % 3 = 0 or pair_id not in (select pair_id from si union all select pair_id from ti)""")
+select pair_id, number, md5(s_body) as s_body, md5(t_body) as t_body from m union all select pair_id, '0', md5(s_text), md5(t_text) from bitext left join (select distinct pair_id from si union select distinct pair_id from ti) h using (pair_id) where pair_id % 3 = 0 or h.pair_id is null""")
 def join_items_or_whole(spark, sf):
     b, x, y = both_items(spark, sf)
     some = F.col("pair_id") % 3 != 0  # the others stand for documents without items
@@ -197,15 +197,6 @@ def join_articles(spark, sf):
     return segment.matched(x, y, ["pair_id", "number"]).select("pair_id", F.col("number").cast("int").alias("number"), md5(F.col("s_body")).alias("s_body"), md5(F.col("t_body")).alias("t_body"), "kind")
 
 
-@query(f"""with {v.ARTICLES}, a as (select pair_id, side, case when pair_id % 4 = 0 then replace(body, 'Член ', 'x ') else replace(replace(body, 'Член 3 ', 'ЧЛЕН 3 '), 'Член 4 ', 'Член 4а ') end as body from articles where side = 's'),
-{sql_items("a", "pair_id", "'(?:Член|ЧЛЕН|Чл[.])[[:space:]]*([0-9]+[а-яА-Яa-zA-Z]?)'", 10)}, u as (select pair_id, number, body from items union all select pair_id, '0', {v.sql_strip("body")} from a where pair_id not in (select pair_id from items) and length({v.sql_strip("body")}) >= 10)
-select pair_id, number, md5(body) as body from u""")
-def segment_articles_early(spark, sf):
-    bent = F.when(F.col("pair_id") % 4 == 0, F.replace("body", F.lit("Член "), F.lit("x "))).otherwise(F.replace(F.replace("body", F.lit("Член 3 "), F.lit("ЧЛЕН 3 ")), F.lit("Член 4 "), F.lit("Член 4а ")))
-    a = v.articles(spark, sf).filter("side = 's'").select("pair_id", bent.alias("body"))
-    return segment.articles_early(a, ["pair_id"], r"(?:Член|ЧЛЕН|Чл\.)\s*(\d+[а-яА-Яa-zA-Z]?)", 2).select("pair_id", "number", md5(F.col("body")).alias("body"))
-
-
 @query(f"""with {v.BITEXT}, z as (select pair_id, {v.sql_sentences("s_text")} as a, {v.sql_sentences("t_text")} as b from bitext), i as (select *, unnest(range(least(len(a), len(b)))) as idx from z)
 select pair_id, idx, case when len(a) = len(b) then 'zip' when abs(len(a) - len(b)) <= 2 then 'aligned' else 'truncated' end as method, md5(a[idx + 1]) as mk, md5(b[idx + 1]) as sq from i""")
 def join_positions(spark, sf):

@@ -10,6 +10,7 @@ from corpusforge.operators import align, dedup, score, segment, vectors
 from corpusforge.operators.ranking import numbered
 from corpusforge.plans import views as v
 from corpusforge.plans.text_queries import md5
+from corpusforge.sources.storage import written
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -68,11 +69,15 @@ def align_articles_early(spark, sf):
 
 @query()
 def align_cascade(spark, sf):
-    """Articles first; documents without an aligned article by Gale-Church."""
-    by_article = align.align(matched_articles(spark, sf).filter("pair_id % 5 <> 0"), ["pair_id", "article"], "article").select("pair_id", "article", "mk", "sq", "move", F.lit("structural").alias("strategy"))
-    rest = sides(spark, sf).join(by_article.select("pair_id").distinct(), "pair_id", "left_anti")
-    by_length = align.align(rest, ["pair_id"], "gale_church").select("pair_id", F.lit(None).cast("int").alias("article"), "mk", "sq", "move", F.lit("gale_church").alias("strategy"))
-    return by_article.unionByName(by_length)
+    """Articles first; documents without an aligned article by dense retrieval if it gives three pairs; the rest by Gale-Church."""
+    whole = sides(spark, sf)
+    by_article = written(align.align(matched_articles(spark, sf), ["pair_id", "article"], "article").select("pair_id", "article", "mk", "sq", F.lit("structural").alias("strategy")))
+    rest = whole.join(by_article.select("pair_id").distinct(), "pair_id", "left_anti")
+    no_article = F.lit(None).cast("int").alias("article")
+    by_vector = written(align.dense(rest, "pair_id", vectors.trigram_vector).select("pair_id", no_article, "mk", "sq", F.lit("dense_retrieval").alias("strategy")))
+    rest = rest.join(by_vector.select("pair_id").distinct(), "pair_id", "left_anti")
+    by_length = align.align(rest, ["pair_id"], "gale_church").select("pair_id", no_article, "mk", "sq", F.lit("gale_church").alias("strategy"))
+    return by_article.unionByName(by_vector).unionByName(by_length)
 
 
 @query(f"""with {v.PAIRS}, l as (select pair_id, idx, length(mk)::double as a, length(sq)::double / 1.1::double as b, length(sq) as n from sent_pairs)
@@ -113,13 +118,7 @@ def vector_mutual(spark, sf):
 @query()
 def vector_chain(spark, sf):
     """The heaviest rising chain of mutual matches of a group."""
-    import pandas as pd
-
-    def chain(g: pd.DataFrame) -> pd.DataFrame:
-        got = align.monotone_chain(list(zip(g.i, g.j, g.sim, strict=True)))
-        return pd.DataFrame({"grp": [g.grp.iloc[0]] * len(got), "i": [x[0] for x in got], "j": [x[1] for x in got], "sim": [x[2] for x in got]})
-
-    return vectors.mutual(vectors.best_matches(v.vectors(spark, sf)), 0.2).groupBy("grp").applyInPandas(chain, "grp int, i long, j long, sim double")
+    return align.chains(vectors.mutual(vectors.best_matches(v.vectors(spark, sf)), 0.2))
 
 
 LENGTH = f"case when a > 0 and b > 0 and a / b between 0.4 and 2.5 then greatest(0.0, 1 - abs(1 - a / b) / 1.5) else 0.0 end"
