@@ -5,7 +5,12 @@ Every function keeps null: a null text gives a null result unless it says otherw
 
 from __future__ import annotations
 
-import pandas as pd
+import re
+import unicodedata
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +32,7 @@ ARTICLE_MK, ARTICLE_SQ = r"Член\s+(\d+)", r"Neni\s+(\d+)"
 ITEM = r"(?m)^\s*(\d{3,4})\.\s*$"
 
 CYRILLIC = r"\x{0400}-\x{04FF}"
+DIGITS = r"\p{Nd}²³¹⁰-⁹₀-₉"
 
 
 def bound(c: Column, f) -> Column:
@@ -35,8 +41,9 @@ def bound(c: Column, f) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Without Unicode white space at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s++|(?<!\s)\s++$", "")
+    """Without Unicode white space at both ends. Only texts that have some there are searched through."""
+    at_end = lambda x: F.concat(F.substring(x, 1, 1), F.substring(x, -1, 1)).rlike(r"(?U)\s")
+    return bound(c, lambda x: F.when(at_end(x), F.regexp_replace(x, r"(?U)^\s++|(?<!\s)\s++$", "")).otherwise(x))
 
 
 def words(c: Column) -> Column:
@@ -58,6 +65,67 @@ def script_ratio(c: Column, part: str, whole: str = r"\p{L}") -> Column:
     return F.when(n > 0, kept(c, part) / n).otherwise(F.when(c.isNotNull(), F.lit(0.0)))
 
 
+#: The white space of (?U)\\s.
+SPACE = r"\x09-\x0D\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+TABLES: dict[tuple[str, ...], np.ndarray] = {}
+
+
+def class_table(classes: tuple[str, ...]) -> np.ndarray:
+    """For every code point the bits of the classes (as inside brackets of a pattern) that hold it."""
+    if classes not in TABLES:
+        kinds = np.array([unicodedata.category(chr(i)) for i in range(0x110000)])
+        table = np.zeros(0x110000, np.uint32)
+        for bit, cls in enumerate(classes):
+            single = r"\\x\{([0-9A-Fa-f]+)\}|\\x([0-9A-Fa-f]{2})|([^\\])"
+            for m in re.finditer(rf"\\p\{{(\w+)\}}|(?:{single})(?:-(?:{single}))?", cls):
+                kind, *ends = m.groups()
+                if kind:
+                    table[np.char.startswith(kinds, kind)] |= 1 << bit
+                else:
+                    code = [int(h or x, 16) if h or x else ord(c) for h, x, c in (ends[:3], ends[3:]) if h or x or c]
+                    table[code[0] : code[-1] + 1] |= 1 << bit
+        TABLES[classes] = table
+    return TABLES[classes]
+
+
+def counted(texts: list[str], classes: tuple[str, ...], whole: str) -> np.ndarray:
+    """A row per text: the characters of every class, all words, and words of ``whole`` alone."""
+    table = class_table((*classes, whole, SPACE))
+    # a space behind every text ends its last word
+    code = table[np.frombuffer("".join(f"{s} " for s in texts).encode("utf-32-le"), np.uint32)]
+    size = np.array([len(s) + 1 for s in texts])
+    begin = np.concatenate([[0], np.cumsum(size)])[:-1]
+    space = (code >> (len(classes) + 1)) & 1
+    first = np.flatnonzero(space[1:] < space[:-1]) + 1 if len(space) else np.zeros(0, int)
+    first = np.concatenate([[0], first]) if len(space) and not space[0] else first
+    of = np.searchsorted(begin, first, "right") - 1
+    # a word is of the class alone if all its characters are; the spaces behind it count as such
+    alone = np.bitwise_and.reduceat(np.where(space == 1, 1, (code >> len(classes)) & 1), first) if len(first) else np.zeros(0, int)
+    chars = [np.add.reduceat((code >> bit) & 1, begin) for bit in range(len(classes))]
+    return np.stack([*chars, np.bincount(of, minlength=len(texts)), np.bincount(of, weights=alone, minlength=len(texts))], axis=1).astype(np.int32)
+
+
+def counts(c: Column, classes: tuple[str, ...], whole: str) -> Column:
+    """An array: how many characters of each class a text has, how many words, and how many of them are of ``whole`` alone. One
+    pass over the text for all of them."""
+
+    @F.arrow_udf("array<int>")
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            done, texts, full = [], [], 0
+            for s in batch:
+                texts.append(s.as_py() or "")
+                full += len(texts[-1])
+                if full > 1_000_000:
+                    done.append(counted(texts, classes, whole))
+                    texts, full = [], 0
+            done += [counted(texts, classes, whole)] if texts else []
+            rows = np.concatenate(done) if done else np.zeros((0, len(classes) + 2), np.int32)
+            yield pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, len(classes) + 2), pa.int32()), pa.array(rows.reshape(-1)), mask=batch.is_null() if batch.null_count else None)
+
+    return count(c)
+
+
 def cyrillic_ratio(c: Column) -> Column:
     return script_ratio(c, CYRILLIC)
 
@@ -104,9 +172,19 @@ def squeeze(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
-@F.pandas_udf(T.StringType())
-def nfc(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFC")
+#: Characters that neither change under NFC nor combine with the one before.
+NFC_SAFE = r"\x{0000}-\x{02FF}\x{0400}-\x{0482}\x{048A}-\x{04FF}\x{2010}-\x{2027}"
+
+
+@F.arrow_udf(T.StringType())
+def normalised(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for x in texts:
+        yield pa.array((s and unicodedata.normalize("NFC", s) for s in (v.as_py() for v in x)), pa.string(), size=len(x))
+
+
+def nfc(c: Column) -> Column:
+    """Only texts that NFC may change go through Python."""
+    return F.coalesce(normalised(F.when(c.rlike(f"[^{NFC_SAFE}]"), c)), c)
 
 
 def is_noise_line(line: Column) -> Column:
@@ -157,7 +235,7 @@ def clean_text(c: Column, albanian: bool = False) -> Column:
 
 def digit_fraction(c: Column) -> Column:
     """Digits (superscripts too) to characters; 0.0 for the empty text."""
-    return F.when(F.length(c) > 0, kept(c, r"\p{Nd}²³¹⁰-⁹₀-₉") / F.length(c)).otherwise(F.when(c.isNotNull(), F.lit(0.0)))
+    return F.when(F.length(c) > 0, kept(c, DIGITS) / F.length(c)).otherwise(F.when(c.isNotNull(), F.lit(0.0)))
 
 
 def number_word_fraction(c: Column, digits: str = r"[0-9.,/%]+") -> Column:
@@ -249,15 +327,17 @@ ROMAN = ("I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X", "XI", "XII
 
 def month_of(c: Column, year: Column) -> Column:
     """The month of the first date form that names the expected year: day, month name and year (two languages), Roman
-    month, numeric date, month name and year; null without one. A name counts by its first match in the text."""
-    low = F.lower(c)
+    month, numeric date, month name and year; null without one. A name counts by its first match in the text; a text is
+    lowered once, and searched by a pattern only for names that it contains."""
+    number = year.cast("string")
 
-    def named(names: dict[str, int], day: bool) -> list[Column]:
+    def named(names: dict[str, int], day: bool) -> Column:
         head = r"\b\d{1,2}\s*\.?\s*" if day else r"\b"
-        return [F.when(F.regexp_extract(low, rf"(?U){head}{n}\s*\.?\s*(\d{{4}})", 1) == year.cast("string"), F.lit(m)) for n, m in names.items()]
+        return bound(F.lower(c), lambda low: F.coalesce(*[F.when(F.contains(low, F.lit(n)) & (F.regexp_extract(low, rf"(?U){head}{n}\s*\.?\s*(\d{{4}})", 1) == number), F.lit(m)) for n, m in names.items()]))
 
-    roman = [F.when(F.regexp_extract(c, rf"(?U)\b\d{{1,2}}\s*\.?\s*{r}\s*\.?\s*(\d{{4}})", 1) == year.cast("string"), F.lit(ROMAN.index(r) + 1)) for r in sorted(ROMAN, key=len, reverse=True)]
-    dates = F.filter(F.regexp_extract_all(c, F.lit(r"\b\d{1,2}[./]\d{1,2}[./]\d{4}\b"), F.lit(0)), lambda d: F.right(d, F.lit(4)) == year.cast("string"))
+    roman = [F.when(F.regexp_extract(c, rf"(?U)\b\d{{1,2}}\s*\.?\s*{r}\s*\.?\s*(\d{{4}})", 1) == number, F.lit(ROMAN.index(r) + 1)) for r in sorted(ROMAN, key=len, reverse=True)]
+    any_roman = F.when(c.rlike(r"(?U)\d\s*\.?\s*[IVX]+\s*\.?\s*\d{4}"), F.coalesce(*roman))
+    dates = F.filter(F.regexp_extract_all(c, F.lit(r"\b\d{1,2}[./]\d{1,2}[./]\d{4}\b"), F.lit(0)), lambda d: F.right(d, F.lit(4)) == number)
     month = F.regexp_extract(F.coalesce(F.try_element_at(dates, F.lit(1)), F.lit("")), r"[./](\d{1,2})[./]", 1)
     numeric = F.when(month.rlike("^0?[1-9]$|^1[0-2]$"), month.cast("int"))
-    return F.coalesce(*named(MONTH_NAMES_MK, True), *named(MONTH_NAMES_SR, True), *roman, numeric, *named({**MONTH_NAMES_MK, **MONTH_NAMES_SR}, False))
+    return F.coalesce(named(MONTH_NAMES_MK, True), named(MONTH_NAMES_SR, True), any_roman, numeric, named({**MONTH_NAMES_MK, **MONTH_NAMES_SR}, False))

@@ -71,9 +71,14 @@ round(case when len({v.sql_words("text")}) > 0 then len(list_filter({v.sql_words
 ({v.sql_strip("text")} = '' or {v.sql_kept("text", r'\p{L}')} / length(text) < 0.3) as low_quality from documents""")
 def text_script_ratios(spark, sf):
     x = F.col("text")
-    return v.table(spark, sf, "documents").select(
-        "doc_id", *[F.round(t.script_ratio(x, a, b), 9).alias(k) for k, (a, b) in RATIOS.items()], t.has_albanian_markers(x).alias("markers"), t.word_count(x).cast("long").alias("n_words"),
-        F.round(t.digit_fraction(x), 9).alias("digits"), F.round(t.number_word_fraction(x), 9).alias("number_words"), t.is_low_quality(x).alias("low_quality"),
+    classes = tuple(dict.fromkeys([c for pair in RATIOS.values() for c in pair] + [t.DIGITS]))
+    at = {c: F.col("n")[i] for i, c in enumerate(classes)}
+    n_words, numbers = F.col("n")[len(classes)], F.col("n")[len(classes) + 1]
+    share = lambda n, of, none: F.when(of > 0, n / of).otherwise(F.when(x.isNotNull(), F.lit(none)))
+    d = v.table(spark, sf, "documents").select("doc_id", "text", t.counts(x, classes, "0-9.,/%").alias("n"))
+    return d.select(
+        "doc_id", *[F.round(share(at[a], at[b], 0.0), 9).alias(k) for k, (a, b) in RATIOS.items()], t.has_albanian_markers(x).alias("markers"), n_words.cast("long").alias("n_words"),
+        F.round(share(at[t.DIGITS], F.length(x), 0.0), 9).alias("digits"), F.round(share(numbers, n_words, 1.0), 9).alias("number_words"), ((t.strip(x) == "") | (at[r"\p{L}"] / F.length(x) < 0.3)).alias("low_quality"),
     )
 
 
