@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from operator import add
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -62,18 +63,21 @@ def chrf(hypothesis: str, reference: str, chars: int = 6, words: int = 2, beta:
                 out += [w[0], w[1:]]
             else:
                 out.append(w)
-        return out
+        return [(w,) for w in out]
 
     total, orders = 0.0, 0
     for units, most in ((lambda s: "".join(s.split()), chars), (split_marks, words)):
         h, r = units(hypothesis), units(reference)
+        grams = [h, r]
         for n in range(1, most + 1):
-            a, b = (Counter(tuple(x[i : i + n]) for i in range(len(x) - n + 1)) for x in (h, r))
-            na, nb = sum(a.values()), sum(b.values())
+            # n-grams of one size more: each with the unit behind it
+            grams = [list(map(add, g, x[n - 1 :])) if n > 1 else list(x) for g, x in zip(grams, (h, r), strict=True)]
+            na, nb = len(grams[0]), len(grams[1])
             if not na or not nb:
                 continue
             orders += 1
-            hit = sum((a & b).values())
+            a, b = Counter(grams[0]), Counter(grams[1])
+            hit = sum(min(a[g], b[g]) for g in a.keys() & b.keys())
             p, q = hit / na, hit / nb
             total += (1 + beta**2) * p * q / (beta**2 * p + q) if hit else 0.0
     return total / orders if orders else 0.0
