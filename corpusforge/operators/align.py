@@ -1,8 +1,8 @@
 """Length-based sentence alignment by dynamic programming, one document pair at a time.
 
-A row holds both sides' sentences, so alignment is a narrow operation over Arrow batches. The program fills one row of
-costs at a time with array operations over all moves that come from earlier rows, and walks along the row for moves
-that stay in it. Of equal costs the move from the earliest cell wins.
+A row holds both sides' sentences, so alignment is a narrow operation over Arrow batches. The program computes the costs of
+a block of rows at once, fills one row at a time from all moves that come from earlier rows, and walks along the row for
+moves that stay in it. Of equal costs the move from the earliest cell wins.
 """
 
 from __future__ import annotations
@@ -12,8 +12,11 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusforge.operators import vectors
 from corpusforge.sources.storage import written
@@ -67,60 +70,102 @@ METHODS: dict[str, tuple[list[tuple[int, int]], Cost]] = {
 }
 
 
+#: Cells of which the costs are computed at once.
+CELLS = 1 << 18
+
+
 def path(a: list[int], b: list[int], method: str) -> list[tuple[int, int, int, int, float]]:
-    """Steps (from i, to i, from j, to j, cost so far) through sentences of these lengths; none if the end isn't reachable."""
+    """Steps (from i, to i, from j, to j, cost so far) through sentences of these lengths; none if the end isn't reachable.
+    Costs are computed for blocks of rows; of the table only the moves and the last rows are held."""
     moves, cost = METHODS[method]
     moves = sorted(moves, key=lambda m: (-m[0], -m[1]))  # earliest cell first
     n, m = len(a), len(b)
     sa, sb = np.concatenate([[0], np.cumsum(a)]).astype(float), np.concatenate([[0], np.cumsum(b)]).astype(float)
-    best, came = np.full((n + 1, m + 1), np.inf), np.full((n + 1, m + 1), -1, np.int8)
-    best[0, 0] = 0.0
+
+    def parts(k: int, first: int, last: int) -> list[np.ndarray]:
+        """The summands of a move's costs into rows first to last - 1, one array row each."""
+        di, dj = moves[k]
+        x, y = (sa[first:last] - sa[first - di : last - di])[:, None], (sb[dj:] - sb[: m + 1 - dj])[None, :]
+        return [np.broadcast_to(p, (last - first, m + 1 - dj)) for p in cost((di, dj), *np.broadcast_arrays(x, y))]
+
+    down = [k for k, (di, dj) in enumerate(moves) if di and m >= dj]
+    along = moves.index((0, 1)) if (0, 1) in moves and m else None
+    if along is not None:
+        steps = cost((0, 1), 0.0, sb[1:] - sb[:-1])
+        step = np.array(np.broadcast_to(sum(steps[1:], steps[0]), m))
+    came, total, every = np.full((n + 1, m + 1), -1, np.int8), np.full((len(moves), m + 1), np.inf), np.arange(m + 1)
+    rows, block = [np.full(m + 1, np.inf)] * 2, max(1, CELLS // (m + 1))
     for i in range(n + 1):
-        for k, (di, dj) in enumerate(moves):
-            if di and i >= di and m >= dj:
-                total = best[i - di, : m + 1 - dj]
-                for part in cost((di, dj), sa[i] - sa[i - di], sb[dj:] - sb[: m + 1 - dj]):
-                    total = total + part
-                better = total < best[i, dj:]
-                best[i, dj:][better] = total[better]
-                came[i, dj:][better] = k
-        if (0, 1) in moves:
-            k = moves.index((0, 1))
-            steps = cost((0, 1), 0.0, sb[1:] - sb[:-1])
-            step = np.broadcast_to(sum(steps[1:], steps[0]), m).tolist() if m else []
-            row = best[i].tolist()
+        row = np.full(m + 1, np.inf)
+        if i == 0:
+            row[0] = 0.0
+        elif down:
+            if i == 1 or (i - 1) % block == 0:
+                begin = i
+                costs = {k: parts(k, max(i, moves[k][0]), min(n + 1, i + block)) for k in down if max(i, moves[k][0]) < min(n + 1, i + block)}
+            for k in down:
+                di, dj = moves[k]
+                if i >= di:
+                    into, at = total[k, dj:], i - max(begin, di)
+                    first, *others = costs[k]
+                    np.add(rows[-di][: m + 1 - dj], first[at], out=into)
+                    for p in others:
+                        np.add(into, p[at], out=into)
+            k = total.argmin(axis=0)
+            row = total[k, every]
+            came[i] = np.where(np.isfinite(row), k, -1)
+        if along is not None and (row[:-1] + step < row[1:]).any():
+            cells, ahead = row.tolist(), step.tolist()
             for j in range(m):
-                if row[j] + step[j] < row[j + 1]:
-                    row[j + 1] = row[j] + step[j]
-                    came[i, j + 1] = k
-            best[i] = row
+                if cells[j] + ahead[j] < cells[j + 1]:
+                    cells[j + 1] = cells[j] + ahead[j]
+                    came[i, j + 1] = along
+            row = np.array(cells)
+        rows = [rows[-1], row]
     out, i, j = [], n, m
     while (i or j) and came[i, j] >= 0:
         di, dj = moves[came[i, j]]
-        out.append((i - di, i, j - dj, j, float(best[i, j])))
+        out.append((i - di, i, j - dj, j))
         i, j = i - di, j - dj
-    return out[::-1]
+    steps, so_far = [], 0.0
+    for i0, i1, j0, j1 in out[::-1]:
+        for p in cost((i1 - i0, j1 - j0), sa[i1] - sa[i0], sb[j1 : j1 + 1] - sb[j0 : j0 + 1]):
+            so_far = so_far + float(np.ravel(p)[0])
+        steps.append((i0, i1, j0, j1, so_far))
+    return steps
+
+
+#: Pairs that are handed on at once, and characters of them.
+MOST_PAIRS, MOST_CHARS = 8_192, 2_000_000
 
 
 def align(df: DataFrame, keys: list[str], method: str, a: str = "a", b: str = "b") -> DataFrame:
     """keys, mk, sq, mk_indices, sq_indices, move, cost: pairs with text on both sides; the cost so far, or for the early
-    Gale-Church method the pair's own distance."""
-
-    def run(frames):
-        for f in frames:
-            out = []
-            for row in f.itertuples(index=False):
-                x, y = list(getattr(row, a)), list(getattr(row, b))
+    Gale-Church method the pair's own distance. Documents are read from a batch one by one, and their pairs handed on in slices."""
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+    schema = T.StructType.fromDDL(f"{kinds}, mk string, sq string, mk_indices array<int>, sq_indices array<int>, move string, cost double")
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        out, full = [], 0
+        for f in batches:
+            columns = [f.column(f.schema.get_field_index(c)) for c in (*keys, a, b)]
+            for r in range(f.num_rows):
+                *key, x, y = (c[r].as_py() for c in columns)
                 if not x or not y:
                     continue
                 for i0, i1, j0, j1, cost in path([len(s) for s in x], [len(s) for s in y], method):
                     if i1 > i0 and j1 > j0:
                         own = float(distance(sum(map(len, x[i0:i1])), sum(map(len, y[j0:j1])))) if method == "early_gale_church" else cost
-                        out.append((*[getattr(row, k) for k in keys], " ".join(x[i0:i1]), " ".join(y[j0:j1]), list(range(i0, i1)), list(range(j0, j1)), f"{i1 - i0}-{j1 - j0}", own))
-            yield pd.DataFrame(out, columns=[*keys, "mk", "sq", "mk_indices", "sq_indices", "move", "cost"])
-
-    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return df.select(*keys, a, b).mapInPandas(run, f"{kinds}, mk string, sq string, mk_indices array<int>, sq_indices array<int>, move string, cost double")
+                        out.append((*key, " ".join(x[i0:i1]), " ".join(y[j0:j1]), list(range(i0, i1)), list(range(j0, j1)), f"{i1 - i0}-{j1 - j0}", own))
+                        full += len(out[-1][-6]) + len(out[-1][-5])
+                if full > MOST_CHARS or len(out) >= MOST_PAIRS:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), arrow.types, strict=True)], schema=arrow)
+                    out, full = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), arrow.types, strict=True)], schema=arrow)
+
+    return df.select(*keys, a, b).mapInArrow(run, schema)
 
 
 def monotone_chain(pairs: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
