@@ -28,9 +28,9 @@ def bitext(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pair_id, idx, mk, sq: sentences of both sides by position, up to the shorter side."""
     b = bitext(spark, sf_dir).select("pair_id", t.sentences(F.col("s_text")).alias("a"), t.sentences(F.col("t_text")).alias("b"))
-    n = F.least(F.size("a"), F.size("b"))
-    both = F.slice(F.arrays_zip("a", "b"), F.lit(1), n)
-    return b.filter(n > 0).select("pair_id", F.posexplode(both).alias("idx", "p")).select("pair_id", "idx", F.col("p.a").alias("mk"), F.col("p.b").alias("sq"))
+    # an outer explode of a bound value: texts are cut once, not again in filters that Spark infers from the explode
+    both = t.bound(F.struct("a", "b"), lambda x: F.slice(F.arrays_zip(x["a"].alias("a"), x["b"].alias("b")), F.lit(1), F.least(F.size(x["a"]), F.size(x["b"]))))
+    return b.select("pair_id", F.posexplode_outer(both).alias("idx", "p")).filter("idx is not null").select("pair_id", "idx", F.col("p")["a"].alias("mk"), F.col("p")["b"].alias("sq"))
 
 
 SIGNALS = ("labse", "laser3", "comet", "bt")
