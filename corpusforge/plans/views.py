@@ -56,6 +56,12 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "k", "word", x0.alias("x0"), top.alias("top"), (x0 + 25.0).alias("x1"), (top + 10.0).alias("bottom"))
 
 
+def boxed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, boxes: those of ``boxes`` in one array a document, in the order of k."""
+    at = lambda w, k: F.struct(k.cast("int").alias("k"), w.alias("word"), ((k % 20) * 30.0).alias("x0"), (F.floor(k / 20) * 12.0 + (k % 3) * 0.4).alias("top"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.transform(t.words(F.col("text")), at).alias("boxes"))
+
+
 def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, body: before every fifth line stands a line with an item number; numbers repeat after 40 items."""
     lines = F.split("text", "\n")
